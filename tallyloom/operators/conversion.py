@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.events import rate, uid
@@ -65,6 +65,52 @@ def same_day_conversion(events: DataFrame, event_name: str = PRIMARY_EVENT) -> D
     return counts.withColumn("cr", rate("converted_users", "exposed_users"))
 
 
+def _joined(
+    exposed: DataFrame, conversions: DataFrame, hours: int, keys: list[str], flags: dict[str, int]
+) -> DataFrame:
+    """Exposures with a flag per window length: the user first converted within it.
+
+    Each first conversion is repeated for the days on which an exposure could lead to it (two
+    for a day, eight for a week) and joined on that day too: the join stays an equi join,
+    exposures outside the window find no partner, and a user with very many exposures is
+    split by day.
+    """
+    longest = F.make_dt_interval(F.lit(0), F.lit(hours))
+    candidates = conversions.withColumn(
+        "exposure_date",
+        F.explode(F.sequence(F.to_date(F.col("conv_ts") - longest), F.to_date("conv_ts"))),
+    )
+    on = ["project_id", "uid", "exposure_date"]
+    if "exp" in conversions.columns:
+        on.append("exp")
+
+    def hit(window: int) -> Column:
+        start = F.col("conv_ts") - F.make_dt_interval(F.lit(0), F.lit(window))
+        return F.coalesce(F.col("expose_ts").between(start, F.col("conv_ts")), F.lit(False))
+
+    return (
+        exposed.withColumn("exposure_date", F.to_date("expose_ts"))
+        .join(candidates, on, "left")
+        .select(*keys, "uid", *[hit(w).alias(name) for name, w in flags.items()])
+    )
+
+
+def window_counts(
+    exposed: DataFrame, conversions: DataFrame, hours: tuple[int, ...], dims: tuple[str, ...] = ()
+) -> DataFrame:
+    """Exposure rows, and converted rows per window as ``converted_<hours>h``, from one join."""
+    keys = ["project_id", "exposure_date", "exp", "variant", *dims]
+    flags = {f"hit_{h}": h for h in hours}
+    return (
+        _joined(exposed, conversions, max(hours), keys, flags)
+        .groupBy(*keys)
+        .agg(
+            F.count(F.lit(1)).alias("exposed_users"),
+            *[F.count_if(f"hit_{h}").alias(f"converted_{h}h") for h in hours],
+        )
+    )
+
+
 def window_conversion(
     exposed: DataFrame,
     conversions: DataFrame,
@@ -75,26 +121,10 @@ def window_conversion(
 ) -> DataFrame:
     """Exposure rows, and those whose user first converted within ``hours`` after them.
 
-    Both ends of the window count. Each first conversion is repeated for the days on which an
-    exposure could lead to it (two for a day, eight for a week) and joined on that day too:
-    the join stays an equi join, exposures outside the window find no partner, and a user with
-    very many exposures is split by day. ``distinct`` adds the counts of distinct users.
+    Both ends of the window count. ``distinct`` adds the counts of distinct users.
     """
-    window = F.make_dt_interval(F.lit(0), F.lit(hours))
-    earliest = F.col("conv_ts") - window
-    candidates = conversions.withColumn(
-        "exposure_date", F.explode(F.sequence(F.to_date(earliest), F.to_date("conv_ts")))
-    )
-    on = ["project_id", "uid", "exposure_date"]
-    if "exp" in conversions.columns:
-        on.append("exp")
-    hit = F.col("expose_ts").between(earliest, F.col("conv_ts"))
     keys = ["project_id", "exposure_date", "exp", "variant", *dims]
-    joined = (
-        exposed.withColumn("exposure_date", F.to_date("expose_ts"))
-        .join(candidates, on, "left")
-        .select(*keys, "uid", F.coalesce(hit, F.lit(False)).alias("hit"))
-    )
+    joined = _joined(exposed, conversions, hours, keys, {"hit": hours})
     rows, hits = F.count(F.lit(1)), F.count_if("hit")
     if distinct:
         users = joined.groupBy(*keys, "uid").agg(rows.alias("rows"), hits.alias("hits"))

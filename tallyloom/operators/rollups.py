@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions.events import uid
+from tallyloom.functions.events import rate, uid
 from tallyloom.operators import conversion as conv
 from tallyloom.operators.experiments import DIMS, exposures, exposures_by_day
 from tallyloom.sinks.tables import overwrite_days
@@ -22,11 +23,24 @@ class Rollup:
     dims: tuple[str, ...]
     hours: int
 
+    @property
+    def label(self) -> str:
+        return "cr_24h" if self.hours == 24 else "cr_7d"
+
     def build(self, exposed: DataFrame, conversions: DataFrame) -> DataFrame:
+        """The whole table straight from exposures and conversions."""
         if self.hours == 0:
             return exposures_by_day(exposed, self.dims)
-        label = "cr_24h" if self.hours == 24 else "cr_7d"
-        return conv.window_conversion(exposed, conversions, self.hours, label, self.dims)
+        return conv.window_conversion(exposed, conversions, self.hours, self.label, self.dims)
+
+    def from_counts(self, counts: DataFrame) -> DataFrame:
+        """A conversion table from counts at the finest grain: rows add up, users would not."""
+        keys = ["project_id", "exposure_date", "exp", "variant", *self.dims]
+        summed = counts.groupBy(*keys).agg(
+            F.sum("exposed_users").alias("exposed_users"),
+            F.sum(f"converted_{self.hours}h").alias("converted_users"),
+        )
+        return summed.withColumn(self.label, rate("converted_users", "exposed_users"))
 
 
 ROLLUPS = [
@@ -74,14 +88,26 @@ def rebuild(
 
     ``days`` (one column ``day``) limits the work; the semi join on the day lets Spark prune
     partitions of a fact table partitioned by day. ``events`` must hold all conversions of
-    the users concerned. A repeated run writes the same files again.
+    the users concerned. One join gives the counts of all windows at the finest grain; the
+    coarser conversion tables are sums of them. A repeated run writes the same days again.
     """
     exposed = exposures(events)
     if days is not None:
         exposed = exposed.withColumn("day", F.to_date("expose_ts")).join(days, "day", "left_semi").drop("day")
-    conversions = conv.first_conversion(events)
-    for rollup in rollups:
-        overwrite_days(rollup.build(exposed, conversions), f"{path}/{rollup.name}", rollup.day)
+    exposed = exposed.persist(StorageLevel.MEMORY_AND_DISK)
+    hours = tuple(sorted({r.hours for r in rollups if r.hours}))
+    counts = None
+    if hours:
+        counts = conv.window_counts(exposed, conv.first_conversion(events), hours, DIMS)
+        counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for r in rollups:
+            table = r.from_counts(counts) if r.hours else exposures_by_day(exposed, r.dims)
+            overwrite_days(table, f"{path}/{r.name}", r.day)
+    finally:
+        exposed.unpersist()
+        if counts is not None:
+            counts.unpersist()
 
 
 def refresh(new: DataFrame, before: DataFrame, path: str, rollups: list[Rollup] = ROLLUPS) -> None:

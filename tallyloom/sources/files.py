@@ -99,7 +99,7 @@ def read_json_arrays(spark: SparkSession, path: str, max_bytes: int = 1_048_576)
     )
     items = F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>")
     one = F.when(items.isNull(), F.array(F.lit(None).cast("string"))).otherwise(
-        F.transform(items, F.to_json)
+        F.transform(items, lambda item: F.to_json(item))
     )
     rows = small.unionByName(large).select("batch_id", REQUEST_BYTES, F.explode(one).alias("value"))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}

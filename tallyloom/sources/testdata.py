@@ -114,6 +114,13 @@ def client_ip() -> Column:
     return F.concat(F.lit("10."), u.cast("string"), F.lit("."), e.cast("string"), F.lit(".7"))
 
 
+def forwarded_for() -> Column:
+    """The forwarding header: every eleventh event comes over IPv6."""
+    u, e = F.col("user_id"), F.col("event_id")
+    v6 = F.concat(F.lit("2001:0db8:"), F.lower(F.hex(u)), F.lit("::"), F.lower(F.hex(e % 65536)))
+    return F.when(e % 11 == 0, v6).otherwise(F.concat(client_ip(), F.lit(", 172.16.0.1")))
+
+
 def records(spark: SparkSession, sf_dir: str, copies: bool = False) -> DataFrame:
     """Normalized records before enrichment, times in microseconds.
 
@@ -194,13 +201,11 @@ def wire_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit('"props":{'), props, F.lit("}")),
     )
     line = F.concat(F.lit("{"), members, F.when(hits(103), F.lit("")).otherwise(F.lit("}")))
-    v6 = F.concat(F.lit("2001:0db8:"), F.lower(F.hex(u)), F.lit("::"), F.lower(F.hex(e % 65536)))
-    forwarded = F.when(e % 11 == 0, v6).otherwise(F.concat(client_ip(), F.lit(", 172.16.0.1")))
     return table(spark, sf_dir, "events").select(
         line.alias("value"),
         F.floor(e / 50).cast("string").alias("batch_id"),
         F.concat(F.lit("key"), (u % 4).cast("string")).alias("api_key"),
-        forwarded.alias("forwarded_for"),
+        forwarded_for().alias("forwarded_for"),
         F.lit("192.168.1.9").alias("remote_addr"),
         pick(u % 6, USER_AGENTS).alias("header_user_agent"),
     )
