@@ -204,7 +204,7 @@ def funnel_daily_2h(spark, sf):
     return funnel.daily_funnel(testdata.events(spark, sf), "level_start", "revenue", timeout_hours=2)
 
 
-def _sessions(minutes: int) -> str:
+def session_sql(minutes: int) -> str:
     return with_(
         EV,
         body=f"""SELECT project_id,
@@ -223,12 +223,12 @@ def _sessions(minutes: int) -> str:
     )
 
 
-@query("sessions_30m", _sessions(30))
+@query("sessions_30m", session_sql(30))
 def sessions_30m(spark, sf):
     return sessions.sessions(testdata.events(spark, sf))
 
 
-@query("sessions_6h", _sessions(360))
+@query("sessions_6h", session_sql(360))
 def sessions_6h(spark, sf):
     return sessions.sessions(testdata.events(spark, sf), gap_minutes=360)
 

@@ -49,10 +49,10 @@ def mask_text(text: Column, email_mode: Column, phone_mode: Column) -> Column:
     email, phone = has_email(text), has_phone(text)
     nothing = F.lit(None).cast("string")
     return (
-        F.when(email & (email_mode == "drop"), nothing)
-        .when(email & (email_mode == "mask"), mask_email(text))
-        .when(phone & (phone_mode == "drop"), nothing)
-        .when(phone & (phone_mode == "mask"), mask_phone(text))
+        F.when((email_mode == "drop") & email, nothing)
+        .when((email_mode == "mask") & email, mask_email(text))
+        .when((phone_mode == "drop") & phone, nothing)
+        .when((phone_mode == "mask") & phone, mask_phone(text))
         .otherwise(text)
     )
 
@@ -88,7 +88,8 @@ def _walk(value: Column, key: Column, depth: int, trimmed: Column, text: Callabl
         else:
             items = F.slice(array, 1, 0)
         return (
-            F.when(kind == "STRING", text(key, value.cast("string")).cast("variant"))
+            F.when(kind.isin("BIGINT", "BOOLEAN", "DOUBLE"), value)
+            .when(kind == "STRING", text(key, value.cast("string")).cast("variant"))
             .when(kind == "VOID", F.lit(None).cast("variant"))
             .when(kind.startswith("OBJECT"), F.to_variant_object(members))
             .when(kind.startswith("ARRAY"), F.to_variant_object(items))

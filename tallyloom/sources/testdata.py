@@ -122,11 +122,25 @@ def forwarded_for() -> Column:
 
 
 def records(spark: SparkSession, sf_dir: str, copies: bool = False) -> DataFrame:
+    return as_records(table(spark, sf_dir, "events"), copies)
+
+
+def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The generic events table as a stream of files."""
+    schema = table(spark, sf_dir, "events").schema
+    return (
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", "events.parquet")
+        .option("maxFilesPerTrigger", 1)
+        .parquet(sf_dir)
+    )
+
+
+def as_records(source: DataFrame, copies: bool = False) -> DataFrame:
     """Normalized records before enrichment, times in microseconds.
 
     With ``copies`` the events of every seventh id arrive a second time a minute later.
     """
-    source = table(spark, sf_dir, "events")
     if copies:
         again = F.when(F.col("event_id") % 7 == 0, F.array(F.lit(0), F.lit(60))).otherwise(
             F.array(F.lit(0))
