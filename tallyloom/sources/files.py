@@ -81,7 +81,7 @@ def read_json_arrays(spark: SparkSession, path: str, max_bytes: int = 1_048_576)
     The reader takes a file as one value. Files above ``max_bytes`` on disk, which the request
     limit refuses anyway, come back as one row with their size and without their content.
     """
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     small = files.filter(F.col("_metadata.file_size") <= max_bytes).select(
         "value",
         F.col("_metadata.file_path").alias("batch_id"),
