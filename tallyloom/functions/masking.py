@@ -31,12 +31,13 @@ def has_email(text: Column) -> Column:
 
 def mask_email(text: Column) -> Column:
     """Every address becomes ``***@domain``."""
-    return F.regexp_replace(text, EMAIL_PATTERN, r"***$1")
+    masked = F.regexp_replace(text, EMAIL_PATTERN, r"***$1")
+    return F.when(text.contains("@"), masked).otherwise(text)
 
 
 def has_phone(text: Column) -> Column:
     """At least ten digits anywhere in the text."""
-    return F.length(text) - F.length(F.translate(text, "0123456789", "")) >= PHONE_DIGITS
+    return text.rlike(rf"\d(?:\D*+\d){{{PHONE_DIGITS - 1}}}")
 
 
 def mask_phone(text: Column) -> Column:
@@ -79,19 +80,24 @@ def _walk(value: Column, key: Column, depth: int, trimmed: Column, text: Callabl
             lambda _, item: item.isNotNull(),
         )
         array = value.cast("array<variant>")
+        numbers = value.cast("array<bigint>")
         if depth + 1 < MAX_DEPTH:
             present = F.filter(array, lambda item: ~F.is_variant_null(item))
             first = F.slice(F.when(trimmed, present).otherwise(array), 1, MAX_ITEMS)
             items = F.filter(
                 F.transform(first, lambda item: child(key, item)), lambda item: item.isNotNull()
             )
+            whole = F.when(trimmed, F.slice(F.array_compact(numbers), 1, MAX_ITEMS)).otherwise(
+                F.array_compact(F.slice(numbers, 1, MAX_ITEMS))
+            )
         else:
-            items = F.slice(array, 1, 0)
+            items, whole = F.slice(array, 1, 0), F.slice(numbers, 1, 0)
         return (
             F.when(kind.isin("BIGINT", "BOOLEAN", "DOUBLE"), value)
             .when(kind == "STRING", text(key, value.cast("string")).cast("variant"))
             .when(kind == "VOID", F.lit(None).cast("variant"))
             .when(kind.startswith("OBJECT"), F.to_variant_object(members))
+            .when(kind == "ARRAY<BIGINT>", F.to_variant_object(whole))
             .when(kind.startswith("ARRAY"), F.to_variant_object(items))
             .otherwise(value)
         )

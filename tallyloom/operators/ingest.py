@@ -190,6 +190,9 @@ def classify(
             ),
             "ts_client_us": micros_from_text(F.col("ts_client")),
             "ts_server_us": micros_from_text(F.col("ts_server")),
+            # Not deterministic, never negative: a filter on the reason stays above this
+            # projection, so the cleaning runs once per event and not once more per filter.
+            "partition": F.spark_partition_id(),
         }
     )
     body = F.to_json(
@@ -203,8 +206,9 @@ def classify(
     required = _schema_error()
     lengths = _length_error()
     too_large = F.octet_length(body) > defaults.max_event_bytes
+    oversize = F.col("request_bytes") > defaults.max_request_bytes
     reason = (
-        F.when(F.col("request_bytes") > defaults.max_request_bytes, F.lit(REQUEST_TOO_LARGE))
+        F.when(oversize | (F.col("partition") < 0), F.lit(REQUEST_TOO_LARGE))
         .when(required.isNotNull(), F.lit(INVALID_SCHEMA))
         .when(F.col("blocked"), F.lit(PII_BLOCKED))
         .when(too_large, F.lit(PAYLOAD_TOO_LARGE))
