@@ -82,14 +82,14 @@ def first_conversion(spark, sf):
     return conv.first_conversion(testdata.events(spark, sf))
 
 
-# Experiments of the nation table, and their users, in SQL.
+# Experiments of the supplier table, and their users, in SQL.
 _RUNNING = """running AS (
-  SELECT 'exp' || n_nationkey AS id, 'p' || (n_nationkey % 4) AS project_id, n_name AS name,
-    CASE WHEN n_nationkey % 2 = 0 THEN 's' || n_nationkey ELSE '' END AS salt,
-    n_nationkey % 4 * 10 AS wa, n_nationkey % 3 * 25 AS wb, n_nationkey % 5 AS target,
-    CASE WHEN n_nationkey % 2 = 0 THEN 'level_complete' ELSE 'revenue' END AS primary_event,
-    n_nationkey
-  FROM nation WHERE n_nationkey % 3 <> 2)"""
+  SELECT 'exp' || s_suppkey AS id, 'p' || (s_suppkey % 4) AS project_id, s_name AS name,
+    CASE WHEN s_suppkey % 2 = 0 THEN 's' || s_suppkey ELSE '' END AS salt,
+    s_suppkey % 4 * 10 AS wa, s_suppkey % 3 * 25 AS wb, s_suppkey % 5 AS target,
+    CASE WHEN s_suppkey % 2 = 0 THEN 'level_complete' ELSE 'revenue' END AS primary_event,
+    s_suppkey
+  FROM supplier WHERE s_suppkey % 3 <> 2)"""
 _USERS = f"users AS (SELECT DISTINCT project_id, uid AS key, {', '.join(DIMS)} FROM ev)"
 _TARGETED = """targeted AS (
   SELECT r.*, u.key FROM running r JOIN users u ON u.project_id = r.project_id
@@ -200,9 +200,9 @@ def running_configs(spark, sf):
 
 @query(
     "list_experiments",
-    f"""SELECT 'exp' || n_nationkey AS id, n_name AS name, 'running' AS status,
-      strftime(TIMESTAMP '2024-01-01' + to_days(CAST(n_nationkey % 7 AS INTEGER)), '{_TIME}') AS updated_at
-    FROM nation WHERE n_nationkey % 4 = 1 AND n_nationkey % 3 <> 2""",
+    f"""SELECT 'exp' || s_suppkey AS id, s_name AS name, 'running' AS status,
+      strftime(TIMESTAMP '2024-01-01' + to_days(CAST(s_suppkey % 7 AS INTEGER)), '{_TIME}') AS updated_at
+    FROM supplier WHERE s_suppkey % 4 = 1 AND s_suppkey % 3 <> 2""",
 )
 def list_experiments(spark, sf):
     listed = dimensions.list_experiments(testdata.experiments(spark, sf), "p1", "running")

@@ -9,13 +9,20 @@ from tallyloom.sources import testdata
 
 _TIME = "%Y-%m-%d %H:%M:%S.%g"
 
-ORGS = """orgs AS (SELECT 'org' || n_nationkey AS id, n_name AS name,
-  CASE n_nationkey % 3 WHEN 0 THEN 'FREE' WHEN 1 THEN 'PRO' ELSE 'ENTERPRISE' END AS tier,
-  CASE WHEN n_nationkey % 4 = 3 THEN 'SUSPENDED' ELSE 'ACTIVE' END AS status,
-  CASE n_nationkey % 3 WHEN 0 THEN 4 WHEN 1 THEN 50 ELSE 1000 END AS max_games,
-  CASE n_nationkey % 3 WHEN 0 THEN 100 WHEN 1 THEN 100000000 ELSE -1 END AS max_events,
-  CASE n_nationkey % 3 WHEN 0 THEN 90 WHEN 1 THEN 365 ELSE 1095 END AS retention_days,
-  n_nationkey % 11 = 10 AS deleted FROM nation)"""
+
+def organizations_sql(source: str = "nation", key: str = "n_nationkey", name: str = "n_name") -> str:
+    return f"""orgs AS (SELECT 'org' || {key} AS id, {name} AS name,
+  CASE {key} % 3 WHEN 0 THEN 'FREE' WHEN 1 THEN 'PRO' ELSE 'ENTERPRISE' END AS tier,
+  CASE WHEN {key} % 4 = 3 THEN 'SUSPENDED' ELSE 'ACTIVE' END AS status,
+  CASE {key} % 3 WHEN 0 THEN 4 WHEN 1 THEN 50 ELSE 1000 END AS max_games,
+  CASE {key} % 3 WHEN 0 THEN 100 WHEN 1 THEN 100000000 ELSE -1 END AS max_events,
+  CASE {key} % 3 WHEN 0 THEN 90 WHEN 1 THEN 365 ELSE 1095 END AS retention_days,
+  {key} % 11 = 10 AS deleted FROM {source})"""
+
+
+ORGS = organizations_sql()
+# The statistics over all organizations take one per customer, so that they grow.
+CUSTOMER_ORGS = ("customer", "c_custkey", "c_name")
 GAMES = """games AS (SELECT 'p' || s_suppkey AS id, 'org' || s_nationkey AS org_id, s_name AS name, s_suppkey,
   CASE s_suppkey % 4 WHEN 0 THEN 'LIVE' WHEN 1 THEN 'DEVELOPMENT' WHEN 2 THEN 'TESTING' ELSE 'MAINTENANCE' END AS status,
   s_suppkey % 2 = 0 AS has_multiplayer, s_suppkey % 13 = 12 AS deleted FROM supplier)"""
@@ -161,22 +168,22 @@ def key_backfill(spark, sf):
 @query(
     "organization_statistics",
     with_(
-        ORGS,
+        organizations_sql(*CUSTOMER_ORGS),
         body="""SELECT count(*) AS total_orgs, count(*) FILTER (WHERE tier = 'FREE') AS free_orgs,
           count(*) FILTER (WHERE tier = 'PRO') AS pro_orgs, count(*) FILTER (WHERE tier = 'ENTERPRISE') AS enterprise_orgs,
           count(*) FILTER (WHERE status = 'ACTIVE') AS active_orgs FROM orgs WHERE NOT deleted""",
     ),
 )
 def organization_statistics(spark, sf):
-    return tenants.organization_statistics(testdata.organizations(spark, sf))
+    return tenants.organization_statistics(testdata.organizations(spark, sf, *CUSTOMER_ORGS))
 
 
 @query(
     "active_organizations_by_tier",
-    with_(ORGS, body="SELECT tier, count(*) AS orgs FROM orgs WHERE NOT deleted AND status = 'ACTIVE' GROUP BY tier"),
+    with_(organizations_sql(*CUSTOMER_ORGS), body="SELECT tier, count(*) AS orgs FROM orgs WHERE NOT deleted AND status = 'ACTIVE' GROUP BY tier"),
 )
 def active_organizations_by_tier(spark, sf):
-    return tenants.active_organizations_by_tier(testdata.organizations(spark, sf))
+    return tenants.active_organizations_by_tier(testdata.organizations(spark, sf, *CUSTOMER_ORGS))
 
 
 _GAME_COUNTS = """count(*) AS total_games, count(*) FILTER (WHERE status = 'LIVE') AS live_games,

@@ -262,11 +262,14 @@ def geo_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def organizations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.col("n_nationkey")
-    return table(spark, sf_dir, "nation").select(
+def organizations(
+    spark: SparkSession, sf_dir: str, source: str = "nation", key: str = "n_nationkey", name: str = "n_name"
+) -> DataFrame:
+    """One organization per nation, or per row of another table with an integer key."""
+    n = F.col(key)
+    return table(spark, sf_dir, source).select(
         F.concat(F.lit("org"), n.cast("string")).alias("id"),
-        F.col("n_name").alias("name"),
+        F.col(name).alias("name"),
         pick(n % 3, ["FREE", "PRO", "ENTERPRISE"]).alias("tier"),
         F.when(n % 4 == 3, F.lit("SUSPENDED")).otherwise(F.lit("ACTIVE")).alias("status"),
         pick(n % 3, ["4", "50", "1000"]).cast("int").alias("max_games"),
@@ -370,8 +373,8 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def experiments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One experiment per nation, spread over the four projects."""
-    n = F.col("n_nationkey")
+    """One experiment per supplier, spread over the four projects."""
+    n = F.col("s_suppkey")
     weights = F.format_string('[{"name":"A","weight":%d},{"name":"B","weight":%d},{"name":"C"}]', n % 4 * 10, n % 3 * 25)
     targeting = (
         F.when(n % 5 == 0, F.lit('{"platform":["ios","web"]}'))
@@ -381,14 +384,14 @@ def experiments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     primary = F.when(n % 2 == 0, F.lit('{"primary":"level_complete"}')).otherwise(F.lit('{"primary":"revenue"}'))
     config = F.concat(F.lit('{"variants":'), weights, F.lit(',"targeting":'), targeting, F.lit(',"metrics":'), primary, F.lit("}"))
-    return table(spark, sf_dir, "nation").select(
+    return table(spark, sf_dir, "supplier").select(
         F.concat(F.lit("exp"), n.cast("string")).alias("id"),
         F.concat(F.lit("p"), (n % 4).cast("string")).alias("project_id"),
-        F.col("n_name").alias("name"),
+        F.col("s_name").alias("name"),
         F.when(n % 3 == 2, F.lit("draft")).otherwise(F.lit("running")).alias("status"),
         F.when(n % 2 == 0, F.concat(F.lit("s"), n.cast("string"))).alias("salt"),
         config.alias("config_json"),
-        F.date_add(F.lit("2024-01-01").cast("date"), n % 7).cast("timestamp").alias("updated_at"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (n % 7).cast("int")).cast("timestamp").alias("updated_at"),
     )
 
 
