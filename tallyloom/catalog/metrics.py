@@ -209,12 +209,12 @@ def session_sql(minutes: int) -> str:
         EV,
         body=f"""SELECT project_id,
           upper(substr(sha1(project_id || ':' || uid || ':' || epoch_ms(min(ts_server))), 1, 24)) AS session_id,
-          first(user_id ORDER BY ts_server, event_id) AS user_id,
-          first(device_id ORDER BY ts_server, event_id) AS device_id,
+          first(user_id ORDER BY ts_server, user_id, device_id) AS user_id,
+          first(device_id ORDER BY ts_server, user_id, device_id) AS device_id,
           strftime(min(ts_server), '%Y-%m-%d %H:%M:%S.%g') AS session_start,
           strftime(max(ts_server), '%Y-%m-%d %H:%M:%S.%g') AS session_end,
           CAST(floor((epoch_ms(max(ts_server)) - epoch_ms(min(ts_server))) / 1000) AS BIGINT) AS duration,
-          coalesce(first(country ORDER BY ts_server, event_id) FILTER (WHERE country <> ''), '') AS country,
+          coalesce(first(country ORDER BY ts_server, country) FILTER (WHERE country <> ''), '') AS country,
           count(*) AS events
         FROM (SELECT *, sum(opens) OVER (PARTITION BY project_id, uid ORDER BY ts_server, event_id) AS no FROM (
           SELECT *, CASE WHEN ts_server - lag(ts_server) OVER (PARTITION BY project_id, uid ORDER BY ts_server, event_id)

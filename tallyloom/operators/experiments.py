@@ -139,7 +139,8 @@ def exposure_events(assigned: DataFrame) -> DataFrame:
 
 
 def config_error(config_json: str = "config_json") -> Column:
-    """The first rule a configuration breaks, as a message; NULL when it is valid.
+    """The first rule a configuration breaks, as a message; NULL when it is valid. The messages
+    and their order are fixed values.
 
     A missing configuration is valid. Types matter, so the text is read as VARIANT.
     """

@@ -18,29 +18,22 @@ from tallyloom.functions.hashing import session_id
 ACTOR = ["project_id", "uid"]
 
 
-def _cells(events: DataFrame, gap_ms: int) -> DataFrame:
+def _cells(events: DataFrame, gap_ms: int, *detail: str) -> DataFrame:
+    """First and last time and count per actor and cell, and per value of ``detail``.
+
+    The buffers are numbers and the strings are keys, so the map side is a hash aggregate.
+    """
     ms = F.unix_millis("ts_server")
-    first = F.struct("ms", "event_id", "user_id", "device_id")
-    named = F.when(F.col("country") != "", F.struct("ms", "event_id", "country"))
     return (
         events.select(
             "project_id",
             uid().alias("uid"),
-            ms.alias("ms"),
             F.floor(ms / gap_ms).alias("cell"),
-            "event_id",
-            F.coalesce("user_id", F.lit("")).alias("user_id"),
-            "device_id",
-            "country",
-        )
-        .groupBy(*ACTOR, "cell")
-        .agg(
-            F.min("ms").alias("low"),
-            F.max("ms").alias("high"),
-            F.count(F.lit(1)).alias("n"),
-            F.min(first).alias("first"),
-            F.min(named).alias("named"),
+            ms.alias("ms"),
+            *[F.coalesce(c, F.lit("")).alias(c) for c in detail],
         )
+        .groupBy(*ACTOR, "cell", *detail)
+        .agg(F.min("ms").alias("low"), F.max("ms").alias("high"), F.count(F.lit(1)).alias("n"))
     )
 
 
@@ -48,35 +41,49 @@ def _numbered(cells: DataFrame, gap_ms: int) -> DataFrame:
     """Cells with the number of their session; a session starts after a longer pause."""
     order = W.partitionBy(*ACTOR).orderBy("cell")
     pause = F.col("low") - F.lag("high").over(order)
-    return cells.withColumn("opens", F.coalesce(pause > gap_ms, F.lit(True)).cast("int")).withColumn(
+    opens = F.coalesce(pause > gap_ms, F.lit(True)).cast("int")
+    return cells.withColumn("opens", opens).withColumn(
         "session_no", F.sum("opens").over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
     )
 
 
 def sessions(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
-    """One row per session. The first event in ``(time, event_id)`` order gives user and
-    device, the first one with a country gives the country."""
+    """One row per session. The earliest event gives user and device, the earliest one with a
+    country gives the country; at equal times the smaller value counts."""
     gap_ms = gap_minutes * 60_000
-    grouped = (
-        _numbered(_cells(events, gap_ms), gap_ms)
-        .groupBy(*ACTOR, "session_no")
+    named = F.when(F.col("country") != "", F.struct("low", "country"))
+    # One row per actor and cell again, however many devices an actor has.
+    cells = (
+        _cells(events, gap_ms, "user_id", "device_id", "country")
+        .groupBy(*ACTOR, "cell")
         .agg(
+            F.min(F.struct("low", "user_id", "device_id")).alias("first"),
+            F.min(named).alias("named"),
             F.min("low").alias("low"),
             F.max("high").alias("high"),
+            F.sum("n").alias("n"),
+        )
+    )
+    grouped = (
+        _numbered(cells, gap_ms)
+        .groupBy(*ACTOR, "session_no")
+        .agg(
+            F.min("low").alias("start_ms"),
+            F.max("high").alias("end_ms"),
             F.sum("n").alias("events"),
             F.min("first").alias("first"),
             F.min("named").alias("named"),
         )
     )
-    start, end = F.timestamp_millis("low"), F.timestamp_millis("high")
+    start, end = F.timestamp_millis("start_ms"), F.timestamp_millis("end_ms")
     return grouped.select(
         "project_id",
         session_id(F.col("project_id"), F.col("uid"), start).alias("session_id"),
         F.col("first.user_id").alias("user_id"),
-        F.coalesce("first.device_id", F.lit("")).alias("device_id"),
+        F.col("first.device_id").alias("device_id"),
         start.alias("session_start"),
         end.alias("session_end"),
-        F.floor((F.col("high") - F.col("low")) / 1000).alias("duration"),
+        F.floor((F.col("end_ms") - F.col("start_ms")) / 1000).alias("duration"),
         F.coalesce("named.country", F.lit("")).alias("country"),
         "events",
     )
