@@ -10,9 +10,12 @@
    (over six standard errors) are dropped.
 4. The other pairs are confirmed on the full sets, and confirmed links joined to components.
 
-A band bucket never emits all its pairs. First each member is compared with the smallest of its
-bucket, which links most of what belongs together. Only buckets whose members are then still in more than one
-component go on, and there only members of different components are paired, if their estimate allows.
+No step emits the pairs of a group. Each member of a band bucket is paired with the smallest of its bucket only;
+members and leaders with a plausible estimate form families. The sets of a family are compared where they lie
+together: in one piece for small families, and for large ones in pieces of two blocks of about ``BLOCK``
+members, first each block with itself and one other, then what is not one component yet. A piece
+returns the links of a spanning forest. Pairs of a bucket that are in different families (the two are
+not both like the bucket's smallest member) and have a plausible estimate are confirmed one by one.
 """
 
 from __future__ import annotations
@@ -129,34 +132,135 @@ def plausible(a: str, b: str, threshold: float) -> Column:
     return sizes & (estimate(F.col(f"{a}sig"), F.col(f"{b}sig")) >= threshold - MARGIN)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """Of the pairs (a, b), those with 100 x intersection >= percent x union of their full sets.
-
-    Only texts of these pairs are moved.
+def intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The sizes of the intersections of the sets numbered ``left`` with those numbered ``right``."""
+    if len(left) * len(right) <= 4:
+        return np.array([[len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for b in right] for a in left])
+    used = np.unique(np.concatenate([left, right]))
+    flat = np.concatenate([sets[i] for i in used])
+    owner = np.repeat(np.arange(len(used)), [len(sets[i]) for i in used])
+    _, back, many = np.unique(flat, return_inverse=True, return_counts=True)
+    # A shingle of one set is in no intersection.
+    column = np.cumsum(many > 1) - 1
+    shared = many[back] > 1
+    owner, column = owner[shared], column[back[shared]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    rows, cols = np.searchsorted(used, left), np.searchsorted(used, right)
+    out = np.zeros((len(left), len(right)), np.float32)  # counts stay exact up to 2**24
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        a, b = np.searchsorted(column, [start, start + 4096])
+        block = np.zeros((len(used), 4096), np.float32)
+        block[owner[a:b], column[a:b] - start] = 1
+        out += block[rows] @ block[cols].T
+    return out.astype(np.int64)
+
+
+def forest(
+    ids: list[int], sets: list[np.ndarray], sides: np.ndarray, groups: list[int], percent: int
+) -> list[tuple[int, int]]:
+    """Links that join all members joined by similar pairs, none inside what is one already by ``groups``.
+
+    With two sides, only pairs between them are compared.
+    """
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    one, two = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
+    if not len(two):
+        two = one
+    sizes = np.array([len(s) for s in sets])
+    common = intersections(sets, one, two)
+    union = sizes[one][:, None] + sizes[two][None] - common
+    links = []
+    for i, j in zip(*np.nonzero((100 * common >= percent * union) & (common > 0)), strict=True):
+        a, b = one[i], two[j]
+        x, y = root(groups[a]), root(groups[b])
+        if x != y and ids[a] != ids[b]:
+            parent[max(x, y)] = min(x, y)
+            links.append((min(ids[a], ids[b]), max(ids[a], ids[b])))
+    return links
+
+
+def linked(members: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (a, b) inside families, from rows (piece, family, i, j, side, id, grouped).
+
+    A piece holds one or more comparisons (family, i, j); ``grouped`` is the component a member is known to
+    be in. Pieces are bounded, so their rows may meet in one task.
     """
-    side = pairs.join(texts.withColumnRenamed("id", "a").withColumnRenamed("text", "a_text"), "a")
-    both = side.join(texts.withColumnRenamed("id", "b").withColumnRenamed("text", "b_text"), "b")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cached: dict[bytes, np.ndarray] = {}
+    def run(table: pa.Table) -> pa.Table:
+        keys = list(zip(*(table[c].to_pylist() for c in ("family", "i", "j")), strict=True))
+        ids, groups = table["id"].to_pylist(), table["grouped"].to_pylist()
+        sides = np.asarray(table["side"])
+        content = as_bytes(table["text"].combine_chunks())
+        of: dict[tuple, list[int]] = {}
+        for row, key in enumerate(keys):
+            of.setdefault(key, []).append(row)
+        links = []
+        for rows in of.values():
+            sets = [shingles(content[r].lower().split(), n) for r in rows]
+            links += forest([ids[r] for r in rows], sets, sides[rows], [groups[r] for r in rows], percent)
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return members.join(texts, "id").groupBy("piece").applyInArrow(run, "a long, b long")
+
 
-        def found(text: bytes) -> np.ndarray:
-            out = cached.get(text)
-            if out is None:
-                if len(cached) > 64:
-                    cached.clear()
-                out = cached[text] = shingles(text.lower().split(), n)
-            return out
+def dealt(members: DataFrame) -> DataFrame:
+    """Number the blocks of each family: (family, id, grouped) with block and blocks.
+
+    Members that are one component already (``grouped``) fill blocks of their own if there are enough of them;
+    the others share blocks. ``pure`` is that component, or null.
+    """
+    by_group = members.groupBy("family", "grouped").agg(F.count("*").alias("m"))
+    by_group = by_group.withColumn("own", F.when(F.col("m") >= BLOCK, F.ceil(F.col("m") / BLOCK)).otherwise(0).cast("int"))
+    rest = by_group.groupBy("family").agg(F.sum(F.when(F.col("own") == 0, F.col("m")).otherwise(0)).alias("rest"))
+    sized = by_group.join(rest, "family").withColumn("pools", F.greatest(F.lit(1), F.ceil(F.col("rest") / BLOCK)).cast("int"))
+    joined = members.join(sized.select("family", "grouped", "own", "pools"), ["family", "grouped"])
+    spread = F.xxhash64("id")
+    pure = F.when(F.col("own") > 0, F.col("grouped"))
+    number = F.when(F.col("own") > 0, F.pmod(spread, F.col("own"))).otherwise(F.pmod(spread, F.col("pools")))
+    return joined.withColumn("pure", pure).withColumn("number", number.cast("int")).withColumn(
+        "block", F.xxhash64("family", "pure", "number")
+    )
 
-        for batch in batches:
-            keep = []
-            for x, y in zip(as_bytes(batch["a_text"]), as_bytes(batch["b_text"]), strict=True):
-                x, y = found(x), found(y)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(bool(common) and 100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long")
+def compared(members: DataFrame, first: bool) -> DataFrame:
+    """Rows for ``linked``: comparisons of two blocks of a family.
+
+    In the first round each block meets itself and the first block of the family, which joins most of a large
+    family; in the second all blocks meet but those of one and the same component.
+    """
+    blocks = dealt(members)
+    each = blocks.groupBy("family", "block").agg(F.first("pure").alias("pure"), F.count("*").alias("m"))
+    many = each.groupBy("family").agg(F.count("*").alias("blocks"))
+    # Small families: many of them make one piece.
+    small = blocks.join(many.filter("blocks = 1"), "family")
+    pool = F.pmod(F.xxhash64("family"), F.lit(1 << 20))
+    a = each.join(many.filter("blocks > 1"), "family").select("family", F.col("block").alias("i"), F.col("pure").alias("x"), "blocks")
+    b = each.select(F.col("family").alias("of"), F.col("block").alias("j"), F.col("pure").alias("y"))
+    if first:
+        lead = each.groupBy("family").agg(F.min("block").alias("lead"))
+        a = a.join(lead, "family").filter("blocks > 1")
+        meets = [a.select("family", F.least("i", "lead").alias("i"), F.greatest("i", "lead").alias("j")), a.select("family", "i", F.col("i").alias("j"))]
+        pairs = meets[0].unionByName(meets[1]).distinct()
+    else:
+        meet = (F.col("family") == F.col("of")) & (F.col("i") <= F.col("j"))
+        pairs = a.join(b, meet).filter(~F.coalesce(F.col("x") == F.col("y"), F.lit(False))).select("family", "i", "j")
+    rows = blocks.select("family", "block", "id", "grouped")
+    sides = [
+        rows.withColumnRenamed("block", name).join(pairs.filter(only), ["family", name]).withColumn("side", F.lit(side))
+        for side, name, only in ((0, "i", F.lit(True)), (1, "j", F.col("i") < F.col("j")))
+    ]
+    columns = ["piece", "family", "i", "j", "side", "id", "grouped"]
+    large = [x.withColumn("piece", F.xxhash64("family", "i", "j")).select(*columns) for x in sides]
+    zero = F.lit(0).cast("long")
+    pooled = small.withColumns({"piece": pool, "i": zero, "j": zero, "side": F.lit(0)}).select(*columns)
+    return pooled.unionByName(large[0]).unionByName(large[1])
 
 
 def near_duplicates(
@@ -193,38 +297,58 @@ def near_duplicates(
 
     stars = shared.filter("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     likely = stars.join(described_as("b"), "b").join(described_as("a"), "a").filter(plausible("a_", "b_", threshold))
-    texts = df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    texts = texts.filter(F.col("text").isNotNull() & F.col("id").isNotNull()).distinct()
-    first = saved(likely.select("a", "b"), "star_pairs")
-    links = saved(confirmed(first, _texts_of(texts, first), n, percent), "star_links")
-    labels = saved(components(links), "star_components")
-
-    # Buckets that still hold more than one component: pair their members across components.
-    tagged = shared.select("id", "band").join(labels, "id", "left")
-    tagged = tagged.withColumn("component", F.coalesce("component", "id"))
+    families = saved(
+        components(likely.select("a", "b")).select("id", F.col("component").alias("family")), "families"
+    )
+
+    # Pairs of a bucket whose members are in different families, and plausible.
+    tagged = shared.select("id", "band").join(families, "id", "left")
+    tagged = tagged.withColumn("family", F.coalesce("family", "id"))
     open_ = tagged.groupBy("band").agg(
-        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("members")
+        F.min("family").alias("x"), F.max("family").alias("y"), F.count("*").alias("members")
+    )
+    rest = tagged.join(open_.filter("x < y").select("band", "members"), "band").join(about, "id")
+    rest = saved(rest.withColumn("pieces", F.ceil(F.col("members") / BLOCK).cast("int")), "open_buckets")
+    left = rest.select(
+        "band", "family", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int").alias("piece"),
+        F.col("id").alias("a"), F.col("n").alias("a_n"), F.col("sig").alias("a_sig"),
     )
-    open_ = open_.filter("x < y").select("band", "members")
-    rest = tagged.join(open_, "band").join(about, "id")
-    pieces = F.ceil(F.col("members") / BLOCK).cast("int")
-    rest = saved(rest.withColumn("pieces", pieces), "open_buckets")
-    own = F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int")
-    left = rest.select("band", "component", own.alias("piece"), F.col("id").alias("a"), F.col("n").alias("a_n"), F.col("sig").alias("a_sig"))
     # Each member of a large bucket meets all pieces of it, one piece at a time.
     right = rest.select(
-        "band", F.col("component").alias("other"), F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"),
+        "band", F.col("family").alias("other"),
+        F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"),
         F.col("id").alias("b"), F.col("n").alias("b_n"), F.col("sig").alias("b_sig"),
     )
-    across = left.join(right, ["band", "piece"]).filter(
-        (F.col("component") < F.col("other")) & plausible("a_", "b_", threshold)
+    across = left.join(right, ["band", "piece"]).filter((F.col("family") < F.col("other")) & plausible("a_", "b_", threshold))
+    across = saved(across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "cross_pairs")
+
+    # Texts of all that is to be compared, once.
+    ids = families.select("id").unionByName(across.select(F.explode(F.array("a", "b")).alias("id"))).distinct()
+    texts = df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    texts = texts.filter(F.col("text").isNotNull()).join(ids, "id", "left_semi")
+    texts = saved(texts.distinct(), "texts")
+    alone = across.select(
+        F.xxhash64("a", "b").alias("family"), F.explode(F.array("a", "b")).alias("id")
+    ).withColumn("grouped", F.col("id"))
+    zero = F.lit(0).cast("long")
+    crossing = alone.withColumns(
+        {"piece": F.pmod(F.col("family"), F.lit(1 << 20)) - (1 << 20), "i": zero, "j": zero, "side": F.lit(0)}
+    ).select("piece", "family", "i", "j", "side", "id", "grouped")
+    inside = compared(families.withColumn("grouped", F.col("id")), first=True)
+    links = saved(linked(inside.unionByName(crossing), texts, n, percent), "links")
+    labels = saved(components(links), "components")
+
+    # Large families that are not one component yet.
+    parts = families.join(labels, "id", "left").select("id", "family", F.coalesce("component", "id").alias("grouped"))
+    torn = parts.groupBy("family").agg(
+        F.count("*").alias("m"), F.min("grouped").alias("x"), F.max("grouped").alias("y")
     )
-    pairs = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    second = saved(pairs.join(first, ["a", "b"], "left_anti"), "cross_pairs")
-    more = saved(confirmed(second, _texts_of(texts, second), n, percent), "cross_links")
-    if more.take(1):
-        joined = labels.select(F.col("component").alias("a"), F.col("id").alias("b")).unionByName(more)
-        labels = saved(components(joined), "components")
+    torn = parts.join(torn.filter((F.col("m") > BLOCK) & (F.col("x") < F.col("y"))).select("family"), "family", "left_semi")
+    torn = saved(torn, "torn_families")
+    if torn.take(1):
+        more = saved(linked(compared(torn, first=False), texts, n, percent), "more_links")
+        labels = saved(components(links.unionByName(more)), "components")
+
 
     # A class takes the component of its smallest id. Large classes are split by AQE.
     classes = classes.join(labels, F.col("rep") == F.col("id"), "left").select(
@@ -241,11 +365,6 @@ def near_duplicates(
     )
 
 
-def _texts_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    used = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    return texts.join(used, "id", "left_semi")
-
-
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate group of every document."""
     return near_duplicates(documents(spark, sf_dir))
