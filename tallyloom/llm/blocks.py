@@ -132,18 +132,20 @@ def exchange(
                         "block": pa.array([block] * len(full), pa.int64()),
                         "keys": pa.array([narrow(np.diff(found[a:b], prepend=np.uint64(0))[1:]) for a, b in pairs], pa.binary()),
                         "first": pa.array([int(found[a].view(np.int64)) for a, _ in pairs], pa.int64()),
-                        "vals": pa.array([narrow(values[a:b]) for a, b in pairs], pa.binary()),
+                        "least": pa.array([int(values[a:b].min().view(np.int64)) for a, b in pairs], pa.int64()),
+                        "vals": pa.array([narrow(values[a:b] - values[a:b].min()) for a, b in pairs], pa.binary()),
                     }
                 )
 
     def answer(table: pa.Table) -> pa.Table:
-        rows = table.select(["block", "keys", "first", "vals"]).to_pydict()
+        rows = table.select(["block", "keys", "first", "least", "vals"]).to_pydict()
         lists = []
         for data, first in zip(rows["keys"], rows["first"], strict=True):
             start = np.array([first], np.int64).view(np.uint64)
             lists.append(np.cumsum(np.concatenate([start, widen(data)]), dtype=np.uint64))
         found = np.concatenate(lists)
-        own = np.concatenate([widen(x) for x in rows["vals"]])
+        least = np.array(rows["least"], np.int64).view(np.uint64)
+        own = np.concatenate([widen(x) + low for x, low in zip(rows["vals"], least, strict=True)])
         order = np.argsort(found, kind="stable")
         ordered = found[order]
         starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
@@ -165,7 +167,7 @@ def exchange(
         )
 
     sent = blocks.select("block", "payload").mapInArrow(
-        send, "part int, block long, keys binary, first long, vals binary"
+        send, "part int, block long, keys binary, first long, least long, vals binary"
     )
     return sent.groupBy("part").applyInArrow(answer, "block long, part int, payload binary")
 
