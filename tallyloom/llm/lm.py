@@ -123,6 +123,6 @@ def op10_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words",
         "backed_off",
         "unseen",
-        F.round("log_score", 6).alias("log_score"),
+        F.round("log_score", 3).alias("log_score"),
         F.round(F.try_divide("log_score", "n_words"), 6).alias("mean_log_score"),
     )

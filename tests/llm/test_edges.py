@@ -70,7 +70,9 @@ def test_near_duplicates(docs, none):
     assert near_dedup.near_duplicates(none).count() == 0
 
 
-def test_near_duplicates_at_the_threshold(spark):
+@pytest.mark.parametrize("block", [7, 64, 256])
+def test_near_duplicates_at_the_threshold(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
     # 40 shingles of which 36 are shared of 44 (linked) or 35 of 45 (not), in chains and with many copies.
     rng = np.random.default_rng(5)
     rows = []

@@ -8,8 +8,9 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from llm import brute
+from oracle_check import compare, connect
 
-from tallyloom.llm.queries import QUERIES
+from tallyloom.llm.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -173,4 +174,9 @@ def test_op10(spark, texts):
     for d, (n, score, backed, unseen) in want.items():
         r = got[d]
         assert (r["n_words"], r["backed_off"], r["unseen"]) == (n, backed, unseen)
-        assert abs(r["log_score"] - score) < 1e-4
+        assert abs(r["log_score"] - score) < 1e-3
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_oracles(spark, name):
+    assert compare(spark, connect(SF_DIR), name, QUERIES[name], ORACLES[name], SF_DIR) is None
