@@ -108,7 +108,7 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lan
         yield pa.RecordBatch.from_pydict({"sums": pa.array([sums.tobytes()], pa.binary())})
 
     totals = np.zeros((len(languages), BUCKETS), np.int64)
-    for row in sample.mapInArrow(count, "sums binary").toLocalIterator():  # eight rows of fixed size
+    for row in sample.mapInArrow(count, "sums binary").collect():  # eight rows of fixed size
         totals += np.frombuffer(row["sums"], np.int64).reshape(totals.shape)
     smooth = totals + SMOOTHING
     likelihood = np.log(smooth / smooth.sum(axis=1, keepdims=True)).T.astype(np.float32)
