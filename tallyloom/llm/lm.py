@@ -21,6 +21,9 @@ from tallyloom.llm.common import documents, mix64, word_hashes
 
 ORDER = 3
 ALPHA = 0.4
+#: An n-gram shares its hash with another one with a probability of at most 2 to minus this: hashes have so many
+#: bits more than the number of n-grams.
+CLEAR_BITS = 24
 
 
 def ngram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -33,7 +36,7 @@ def ngram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _ngrams(texts: list[bytes | None], order: int):
+def _ngrams(texts: list[bytes | None], order: int, bits: int):
     """For each order: hash, document and place of the last word of each n-gram inside a document."""
     words = [t.lower().split() if t else [] for t in texts]
     sizes = np.array([len(w) for w in words], np.int64)
@@ -42,7 +45,7 @@ def _ngrams(texts: list[bytes | None], order: int):
     doc = np.repeat(np.arange(len(words)), sizes)
     grams = []
     for n in range(1, order + 1):
-        found = ngram_hashes(hashes, n)
+        found = ngram_hashes(hashes, n) >> np.uint64(64 - bits) << np.uint64(64 - bits)
         last = np.arange(n - 1, n - 1 + len(found))
         inside = doc[last] == doc[last - n + 1] if len(found) else np.zeros(0, bool)
         grams.append((found[inside], last[inside]))
@@ -68,13 +71,14 @@ def stupid_backoff(
     packed = blocks.pack(df, key, text)
     n_bytes, corpus = packed.agg(F.sum("n_bytes"), F.sum("n_words")).first()
     parts, corpus = order * blocks.n_parts(n_bytes or 0), corpus or 0
+    bits = min(64, (order * corpus).bit_length() + CLEAR_BITS)
 
     def keys_of(_, texts):
-        found, _, counts = _counted(_ngrams(texts, order)[2])
+        found, _, counts = _counted(_ngrams(texts, order, bits)[2])
         return found, counts.astype(np.uint64)
 
     def finish(keys, texts, answers):
-        sizes, doc, grams = _ngrams(texts, order)
+        sizes, doc, grams = _ngrams(texts, order, bits)
         found, back, counts = _counted(grams)
         totals = blocks.merged_values(found, counts, parts, answers).astype(np.int64)
         # A document's own count of each of its n-grams.
