@@ -26,10 +26,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates: the one with the smallest id.
 
-    Of rows that share an id, one stays. Rows without an id stay.
+    Of rows with the same id and text, one stays. Rows without an id stay.
     """
     kept = near_dedup.near_duplicates(docs, n=SHINGLE).filter("kept").select("doc_id").distinct()
-    known = docs.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
+    known = docs.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text"])
     return known.join(kept, "doc_id", "left_semi").unionByName(docs.filter(F.col("doc_id").isNull())).select(*docs.columns)
 
 
