@@ -45,6 +45,16 @@ def word_hashes(words: Iterable[bytes], n: int) -> np.ndarray:
     return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, n)
 
 
+def hashed_words(texts: Iterable[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words of all texts in a row, and the number of words of each text."""
+    each = []
+    for text in texts:
+        words = text.split() if text else []
+        each.append(word_hashes(words, len(words)))
+    sizes = np.array([len(x) for x in each], np.int64)
+    return (np.concatenate(each) if each else np.zeros(0, np.uint64)), sizes
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values over all bits (the finalizer of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import blocks
-from tallyloom.llm.common import documents, mix64, word_hashes
+from tallyloom.llm.common import documents, hashed_words, mix64
 
 ORDER = 3
 ALPHA = 0.4
@@ -36,24 +36,31 @@ def ngram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _ngrams(texts: list[bytes | None], order: int, bits: int):
-    """For each order: hash, document and place of the last word of each n-gram inside a document."""
-    words = [t.lower().split() if t else [] for t in texts]
-    sizes = np.array([len(w) for w in words], np.int64)
-    total = int(sizes.sum())
-    hashes = word_hashes((w for doc in words for w in doc), total)
-    doc = np.repeat(np.arange(len(words)), sizes)
-    grams = []
-    for n in range(1, order + 1):
-        found = ngram_hashes(hashes, n) >> np.uint64(64 - bits) << np.uint64(64 - bits)
-        last = np.arange(n - 1, n - 1 + len(found))
-        inside = doc[last] == doc[last - n + 1] if len(found) else np.zeros(0, bool)
-        grams.append((found[inside], last[inside]))
-    return sizes, doc, grams
+def _hashed(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the lower-cased words of all texts, the text of each, and the number of words of each text."""
+    hashes, sizes = hashed_words(t.lower() if t else t for t in texts)
+    return hashes, np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), sizes
 
 
-def _counted(grams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.unique(np.concatenate([g for g, _ in grams]), return_inverse=True, return_counts=True)
+def _ngrams(hashes: np.ndarray, doc: np.ndarray, n: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and place of the last word of each n-gram inside a text."""
+    found = ngram_hashes(hashes, n) >> np.uint64(64 - bits) << np.uint64(64 - bits)
+    last = np.arange(n - 1, n - 1 + len(found), dtype=np.int32)
+    inside = doc[n - 1 :] == doc[: len(found)] if len(found) else np.zeros(0, bool)
+    return found[inside], last[inside]
+
+
+def _counted(hashes: np.ndarray, doc: np.ndarray, order: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of all orders, sorted, and how often each comes."""
+    each = [np.unique(_ngrams(hashes, doc, n, bits)[0], return_counts=True) for n in range(1, order + 1)]
+    found, counts = (np.concatenate(x) for x in zip(*each, strict=True))
+    del each
+    by_hash = np.argsort(found, kind="stable")
+    found, counts = found[by_hash], counts[by_hash]
+    if len(found) and (found[1:] == found[:-1]).any():  # n-grams of two orders with one hash
+        starts = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
+        found, counts = found[starts], np.add.reduceat(counts, starts)
+    return found, counts
 
 
 def stupid_backoff(
@@ -74,36 +81,33 @@ def stupid_backoff(
     bits = min(64, (order * corpus).bit_length() + CLEAR_BITS)
 
     def keys_of(_, texts):
-        found, _, counts = _counted(_ngrams(texts, order, bits)[2])
+        hashes, doc, _ = _hashed(texts)
+        found, counts = _counted(hashes, doc, order, bits)
         return found, counts.astype(np.uint64)
 
     def finish(keys, texts, answers):
-        sizes, doc, grams = _ngrams(texts, order, bits)
-        found, back, counts = _counted(grams)
+        hashes, doc, sizes = _hashed(texts)
+        found, counts = _counted(hashes, doc, order, bits)
         totals = blocks.merged_values(found, counts, parts, answers).astype(np.int64)
-        # A document's own count of each of its n-grams.
-        owner = np.concatenate([doc[last] for _, last in grams])
-        pairs = owner.astype(np.int64) * max(1, len(found)) + back
-        _, pair, own = np.unique(pairs, return_inverse=True, return_counts=True)
-        others = totals[back] - own[pair]
         n = len(doc)
-        rest = corpus - sizes[doc]
-        count = np.zeros((order + 1, n), np.int64)  # by order, at the last word of the n-gram
-        start = 0
-        for k, (found_k, last) in enumerate(grams, 1):
-            count[k, last] = others[start : start + len(found_k)]
-            start += len(found_k)
         score = np.full(n, 1.0 / (corpus + 1))
-        used = np.zeros(n, np.int64)
+        used = np.zeros(n, np.int8)
+        under = corpus - sizes[doc]  # words of the other rows, then counts of the next lower order
         for k in range(1, order + 1):
-            hit = np.flatnonzero(count[k] > 0)
-            context = rest[hit] if k == 1 else count[k - 1, hit - 1]
-            score[hit] = count[k, hit] / context
+            grams, last = _ngrams(hashes, doc, k, bits)
+            at = np.searchsorted(found, grams)
+            # A document's own count of each of its n-grams.
+            pairs = doc[last].astype(np.int64) * max(1, len(found)) + at
+            _, pair, own = np.unique(pairs, return_inverse=True, return_counts=True)
+            others = np.zeros(n, np.int64)
+            others[last] = totals[at] - own[pair]
+            hit = np.flatnonzero(others > 0)
+            score[hit] = others[hit] / (under[hit] if k == 1 else under[hit - 1])
             used[hit] = k
+            under = others
         place = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         open_to = np.minimum(place + 1, order)
-        skipped = open_to - np.maximum(used, 1)
-        logs = np.log(score) + skipped * np.log(alpha)
+        logs = np.log(score) + (open_to - np.maximum(used, 1)) * np.log(alpha)
         rows = len(sizes)
         return pa.table(
             {
