@@ -91,21 +91,27 @@ def bounds(parts: int) -> np.ndarray:
 
 
 def narrow(values: np.ndarray) -> bytes:
-    """Unsigned values as byte planes (all lowest bytes, then the next), compressed; as many planes as needed.
+    """Unsigned values as byte planes (all lowest bytes, then the next), each compressed on its own; as many
+    planes as needed.
 
     Differences of sorted hashes are random in their low planes; the top plane and small counts compress well.
     """
     values = values.astype(np.uint64, copy=False)
     width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
-    return len(values).to_bytes(4, "little") + bytes([width]) + CODEC.compress(planes, asbytes=True)
+    columns = values.view(np.uint8).reshape(-1, 8)
+    planes = [CODEC.compress(np.ascontiguousarray(columns[:, k]).tobytes(), asbytes=True) for k in range(width)]
+    head = np.array([len(values), *[len(p) for p in planes]], np.uint32)
+    return bytes([width]) + head.tobytes() + b"".join(planes)
 
 
 def widen(data: bytes) -> np.ndarray:
-    n, width = int.from_bytes(data[:4], "little"), data[4]
-    planes = CODEC.decompress(data[5:], decompressed_size=n * width, asbytes=True)
+    width = data[0]
+    n, *lengths = np.frombuffer(data, np.uint32, width + 1, 1).tolist()
     out = np.zeros((n, 8), np.uint8)
-    out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, n).T
+    at = 1 + 4 * (width + 1)
+    for k, length in enumerate(lengths):
+        out[:, k] = np.frombuffer(CODEC.decompress(data[at : at + length], decompressed_size=n, asbytes=True), np.uint8)
+        at += length
     return out.reshape(-1).view(np.uint64)
 
 
