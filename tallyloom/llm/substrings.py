@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import blocks
-from tallyloom.llm.common import documents, mix64, word_hashes
+from tallyloom.llm.common import documents, hashed_words, mix64
 
 WIDTH = 50
 BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
@@ -37,21 +37,18 @@ def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def _windows(keys: pa.Array, texts: list[bytes | None], width: int):
-    """Words of each document, and of all windows inside one document: hash, position, document.
+    """The number of words of each document, and hash, position and id of all windows inside one document.
 
     Documents without an id have no windows.
     """
-    words = [t.split() if t else [] for t in texts]
-    sizes = np.array([len(w) for w in words], np.int64)
-    total = int(sizes.sum())
-    hashes = word_hashes((w for doc in words for w in doc), total)
-    doc = np.repeat(np.arange(len(words)), sizes)
+    hashes, sizes = hashed_words(texts)
+    doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     known = np.asarray(keys.is_valid())
     found = window_hashes(hashes, width)
     inside = doc[: len(found)] == doc[width - 1 :] if len(found) else np.zeros(0, bool)
     at = np.flatnonzero(inside & known[doc[: len(found)]]) if len(found) else np.zeros(0, np.int64)
     ids = np.asarray(keys.fill_null(0)).astype(np.int64).view(np.uint64) ^ SHIFT
-    return words, sizes, found[at], at, ids[doc[at]]
+    return sizes, found[at], at, ids[doc[at]]
 
 
 def _first_holders(hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,12 +72,12 @@ def repeated_words(df: DataFrame, key: str = "doc_id", text: str = "text", width
     parts = blocks.n_parts(packed.agg(F.sum("n_bytes")).first()[0] or 0)
 
     def keys_of(keys, texts):
-        _, _, hashes, _, ids = _windows(keys, texts, width)
+        _, hashes, _, ids = _windows(keys, texts, width)
         found, least, _ = _first_holders(hashes, ids)
         return found, least
 
     def finish(keys, texts, answers):
-        words, sizes, hashes, at, ids = _windows(keys, texts, width)
+        sizes, hashes, at, ids = _windows(keys, texts, width)
         found, least, back = _first_holders(hashes, ids)
         first = blocks.merged_values(found, least, parts, answers)
         begins = at[first[back] < ids]
@@ -89,7 +86,8 @@ def repeated_words(df: DataFrame, key: str = "doc_id", text: str = "text", width
         np.add.at(change, begins + width, -1)
         gone = np.cumsum(change[:-1]) > 0
         kept, spans, start = [], [], 0
-        for doc, size in zip(words, sizes.tolist(), strict=True):
+        for text, size in zip(texts, sizes.tolist(), strict=True):
+            doc = text.split() if text else []
             mask = gone[start : start + size]
             start += size
             edges = np.flatnonzero(np.diff(np.concatenate([[0], mask.view(np.int8), [0]])))
