@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from tallyloom.catalog.registry import query
 from tallyloom.catalog.sql import AS_OF, CONV, EV, EXPOSED, VIEWS, plain_column, ratio, with_
+from tallyloom.operators import rollups
 from tallyloom.plans import bi
-from tallyloom.plans.views import view
+from tallyloom.plans.views import FAST_VIEWS, view
+from tallyloom.session import work_dir
 from tallyloom.sources import testdata
 
 
@@ -47,10 +49,24 @@ def chart_sql(chart: bi.Chart) -> str:
     return with_(*parts, body=f"SELECT * REPLACE (CAST({chart.day} AS VARCHAR) AS {chart.day}) FROM ({grouped})")
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored(spark, sf) -> dict:
+    """The stored tables over the events of a folder, built once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORED:
+        path = work_dir(spark, "stored")
+        rollups.rebuild(testdata.events(spark, sf), path)
+        _STORED[key] = path
+    return rollups.stored_views(spark, _STORED[key])
+
+
 def _register(name: str, chart: bi.Chart) -> None:
     @query(f"bi_{name}", chart_sql(chart))
     def run(spark, sf):
-        return bi.run(chart, testdata.events(spark, sf), AS_OF)
+        tables = stored(spark, sf) if chart.view in FAST_VIEWS else None
+        return bi.run(chart, testdata.events(spark, sf), AS_OF, tables)
 
 
 for _name, _chart in bi.CHARTS.items():
@@ -85,9 +101,8 @@ _PAGE = with_(
 
 @query("bi_detail_second_page", _PAGE)
 def detail_second_page(spark, sf):
-    return bi.run(
-        bi.CHARTS["exp_exposures_dim_table_fast"], testdata.events(spark, sf), AS_OF, page=1
-    )
+    chart = bi.CHARTS["exp_exposures_dim_table_fast"]
+    return bi.run(chart, testdata.events(spark, sf), AS_OF, stored(spark, sf), page=1)
 
 
 @query(
@@ -120,7 +135,7 @@ def _adhoc(view: str, days: int, by: str = "", where: str = "") -> str:
 
 @query("bi_experiment_30d", _adhoc("v_exp_conversion_24h", 30))
 def experiment_30d(spark, sf):
-    daily = view(testdata.events(spark, sf), "v_exp_conversion_24h_fast")
+    daily = view(testdata.events(spark, sf), "v_exp_conversion_24h_fast", stored(spark, sf))
     return bi.experiment_days(daily, "p1", "exp1", AS_OF)
 
 
@@ -132,5 +147,5 @@ def experiment_30d(spark, sf):
     ),
 )
 def series_top10(spark, sf):
-    daily = view(testdata.events(spark, sf), "v_exp_conversion_24h_dim_fast")
+    daily = view(testdata.events(spark, sf), "v_exp_conversion_24h_dim_fast", stored(spark, sf))
     return bi.top_countries(daily, "p1", "exp1", AS_OF)

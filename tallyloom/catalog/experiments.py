@@ -234,8 +234,8 @@ def _rollup(rollup: rollups.Rollup) -> None:
         path = work_dir(spark, name)
         events = testdata.events(spark, sf)
         odd = F.dayofmonth("event_date") % 2 == 1
-        rollups.rebuild(events.filter(odd), path, rollups=[rollup])
-        rollups.refresh(events.filter(~odd), events.filter(odd), path, rollups=[rollup])
+        rollups.refresh(events.filter(odd), path, 0, [rollup])
+        rollups.refresh(events.filter(~odd), path, 1, [rollup])
         return rollups.read_rollup(spark, path, rollup).select(*view(events, source).columns)
 
 
@@ -258,10 +258,8 @@ def fast_equals_raw(spark, sf):
     path = work_dir(spark, "fast")
     events = testdata.events(spark, sf)
     part = F.pmod(F.xxhash64("event_id"), F.lit(3))
-    first, second, third = (events.filter(part == i) for i in range(3))
-    rollups.rebuild(first, path)
-    rollups.refresh(second, first, path)
-    rollups.refresh(third, first.unionByName(second), path)
+    for i in range(3):
+        rollups.refresh(events.filter(part == i), path, i)
     result = None
     for rollup in rollups.ROLLUPS:
         raw = view(events, rollup.name)
@@ -275,3 +273,18 @@ def fast_equals_raw(spark, sf):
         )
         result = row if result is None else result.unionByName(row)
     return result
+
+
+@query("rollup_versions", view_sql("v_exp_conversion_24h_dim"))
+def rollup_versions(spark, sf):
+    """A version of the stored tables that lacks late events, one recomputed aside, compared and switched to."""
+    root = work_dir(spark, "versions")
+    events = testdata.events(spark, sf)
+    rollups.build_version(events.filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) > 0), root, "v1")
+    rollups.switch_version(spark, root, "v1")
+    rollups.build_version(events, root, "v2")
+    if any(rollups.verify_version(spark, root, "v2").values()):
+        rollups.switch_version(spark, root, "v2")
+    rollup = next(r for r in rollups.ROLLUPS if r.name == "exp_daily_conv_24h_dim")
+    table = rollups.read_rollup(spark, rollups.version_path(spark, root), rollup)
+    return table.select(*view(events, rollup.name).columns)

@@ -13,7 +13,15 @@ from tallyloom.operators import experiments as exp
 from tallyloom.operators import ingest
 from tallyloom.session import work_dir
 from tallyloom.sinks.dead_letters import dead_letters
-from tallyloom.sinks.tables import drop_expired_days, keep_days, overwrite_days, publish_by_project
+from tallyloom.operators import tenants
+from tallyloom.sinks.tables import (
+    EVENT_DAYS,
+    drop_expired_days,
+    expire_events,
+    keep_days,
+    overwrite_days,
+    publish_by_project,
+)
 from tallyloom.sources import files, testdata, warehouse
 
 _TIME = "%Y-%m-%d %H:%M:%S.%g"
@@ -27,14 +35,14 @@ judged AS (
   SELECT *, CASE
       WHEN e % 103 = 0 THEN 'invalid_schema' WHEN e % 53 = 0 THEN 'invalid_schema'
       WHEN e % 89 = 0 AND g = 2 THEN 'pii_blocked' WHEN e % 107 = 0 AND g = 1 THEN 'pii_blocked'
-      WHEN e % 107 = 0 AND g = 2 THEN 'payload_too_large'
+      WHEN e % 107 = 0 AND g = 2 THEN 'payload_too_large' WHEN e % 1013 = 0 AND g IN (1, 2) THEN 'payload_too_large'
       WHEN e % 101 = 0 OR e % 97 = 0 THEN 'invalid_schema' END AS reason,
     CASE WHEN e % 103 = 0 THEN NULL WHEN e % 101 = 0 THEN CAST(e % 1000 AS VARCHAR)
       ELSE 'evt-' || lpad(CAST(e AS VARCHAR), 10, '0') END AS wire_id,
     CASE WHEN e % 7 = 0 THEN CASE WHEN g = 2 THEN NULL ELSE 'xxxxxxxxx' || right(lpad(CAST(u AS VARCHAR), 4, '0'), 2) END
       ELSE user_id END AS wire_user,
     CASE WHEN g = 1 THEN NULL WHEN e % 11 = 0 THEN '2001:db8:' || lower(to_hex(u)) || ':0:0:0:0:0'
-      ELSE '10.' || (u % 256) || '.' || (e % 256) || '.0' END AS wire_ip
+      ELSE CASE WHEN e % 13 = 0 THEN '::ffff:' ELSE '' END || '10.' || (u % 256) || '.' || (e % 256) || '.0' END AS wire_ip
   FROM wire)"""
 
 
@@ -75,17 +83,17 @@ def classify_events(spark, sf):
     "props_allowlist",
     with_(
         EV, WIRE,
-        body="""SELECT wire_id AS event_id, CASE WHEN g IN (0, 3) THEN 'arr,bag,email,k,level,note'
+        body="""SELECT wire_id AS event_id, CASE WHEN e % 103 = 0 THEN '' WHEN g IN (0, 3) THEN 'arr,bag,email,k,level,note'
           ELSE CASE WHEN e % 89 = 0 THEN 'Password,' ELSE '' END || 'arr,bag,' || CASE WHEN e % 107 = 0 THEN 'big,' ELSE '' END
-            || 'contact,email,k,level' || CASE WHEN g = 1 THEN ',note' ELSE '' END END AS keys
-        FROM judged WHERE e % 103 <> 0""",
+            || 'contact,email,k,level' || CASE WHEN g = 1 THEN ',note' ELSE '' END
+            || CASE WHEN e % 1009 = 0 OR e % 1013 = 0 THEN ',quoted' ELSE '' END END AS keys
+        FROM judged""",
     ),
 )
 def props_allowlist(spark, sf):
-    """The keys left in the props of each parsed line."""
+    """The keys left in the props of each line, none where it does not parse."""
     keys = F.array_join(F.sort_array(F.json_object_keys("props_json")), ",")
-    parsed = _classified(spark, sf).filter("event_id IS NOT NULL")
-    return parsed.select("event_id", keys.alias("keys"))
+    return _classified(spark, sf).select("event_id", keys.alias("keys"))
 
 
 @query(
@@ -150,7 +158,7 @@ def batch_report(spark, sf):
     "request_size",
     with_(
         EV, WIRE,
-        body="""SELECT CAST(batch AS VARCHAR) AS batch_id, count(*) AS events, bool_or(e % 107 = 0) AS refused FROM judged GROUP BY batch""",
+        body="""SELECT CAST(batch AS VARCHAR) AS batch_id, count(*) AS events, bool_or(e % 107 = 0 OR e % 1009 = 0 OR e % 1013 = 0) AS refused FROM judged GROUP BY batch""",
     ),
 )
 def request_size(spark, sf):
@@ -171,7 +179,8 @@ def _by_reason(classified):
 
 
 @query("ndjson_files", _REASONS.replace("'pii_blocked' WHEN e % 107 = 0 AND g = 1 THEN 'pii_blocked'", "'pii_blocked'")
-       .replace("e % 89 = 0 AND g = 2", "e % 89 = 0").replace("e % 107 = 0 AND g = 2", "e % 107 = 0"))
+       .replace("e % 89 = 0 AND g = 2", "e % 89 = 0").replace("e % 107 = 0 AND g = 2", "e % 107 = 0")
+       .replace("e % 1013 = 0 AND g IN (1, 2)", "e % 1013 = 0"))
 def ndjson_files(spark, sf):
     """The lines written as gzip files and read back, without policies."""
     path = work_dir(spark, "ndjson")
@@ -186,17 +195,16 @@ def ndjson_files(spark, sf):
         EV, WIRE,
         body="""SELECT coalesce(reason, 'accepted') AS reason, count(*) AS events FROM (
           SELECT CASE WHEN e % 53 = 0 THEN 'invalid_schema' WHEN e % 89 = 0 THEN 'pii_blocked'
-            WHEN e % 107 = 0 THEN 'payload_too_large' WHEN e % 101 = 0 OR e % 97 = 0 THEN 'invalid_schema' END AS reason
-          FROM judged WHERE e % 103 <> 0) GROUP BY ALL""",
+            WHEN e % 107 = 0 OR e % 1013 = 0 THEN 'payload_too_large' WHEN e % 101 = 0 OR e % 97 = 0 THEN 'invalid_schema' END AS reason
+          FROM (SELECT *, bool_or(e % 103 = 0) OVER (PARTITION BY batch) AS broken FROM judged) WHERE NOT broken
+          UNION ALL SELECT 'invalid_schema' FROM judged GROUP BY batch HAVING bool_or(e % 103 = 0)) GROUP BY ALL""",
     ),
 )
 def json_array_files(spark, sf):
-    """The whole lines as one JSON array per 500 ids, one array per file."""
+    """The lines of a request as one JSON array, one array per file; a line that is cut off breaks its array."""
     path = work_dir(spark, "arrays")
-    lines = testdata.wire_lines(spark, sf).filter(F.col("value").endswith("}}"))
-    request = F.floor(F.col("batch_id").cast("long") / 10)
     body = F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]"))
-    bodies = lines.groupBy(request.alias("request")).agg(body.alias("value"))
+    bodies = testdata.wire_lines(spark, sf).groupBy("batch_id").agg(body.alias("value"))
     bodies.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return _by_reason(ingest.classify(files.read_json_arrays(spark, path)))
 
@@ -281,7 +289,7 @@ def mask_messages(spark, sf):
     with_(
         EV, WIRE,
         body="""SELECT e AS event_id, CASE WHEN e % 11 = 0 THEN '2001:db8:' || lower(to_hex(u)) || ':0:0:0:0:0'
-          ELSE '10.' || (u % 256) || '.' || (e % 256) || '.0' END AS coarse FROM judged""",
+          ELSE CASE WHEN e % 13 = 0 THEN '::ffff:' ELSE '' END || '10.' || (u % 256) || '.' || (e % 256) || '.0' END AS coarse FROM judged""",
     ),
 )
 def ip_coarse(spark, sf):
@@ -296,14 +304,15 @@ def ip_coarse(spark, sf):
     "dedup",
     with_(
         EV,
-        body="""SELECT event_id, project_id, user_id, event_name, epoch_us(ts_server) AS ts_server,
+        body="""SELECT event_id, project_id, user_id, device_id, event_name, epoch_us(ts_server) AS ts_client,
+          CASE WHEN CAST(event_id AS BIGINT) % 14 <> 0 THEN epoch_us(ts_server) END AS ts_server,
           CASE WHEN CAST(event_id AS BIGINT) % 7 = 0 THEN 2 ELSE 1 END AS copies FROM ev""",
     ),
 )
 def dedup(spark, sf):
-    """First arrivals and the number of rows each id had."""
+    """First events and the number of rows each id had; copies differ, and some have no server time."""
     first = dd.first_events(testdata.records(spark, sf, copies=True))
-    return first.select("event_id", "project_id", "user_id", "event_name", "ts_server", "copies")
+    return first.select("event_id", "project_id", "user_id", "device_id", "event_name", "ts_client", "ts_server", "copies")
 
 
 @query(
@@ -317,14 +326,17 @@ def duplicate_letters(spark, sf):
     return dd.duplicate_letters(testdata.records(spark, sf, copies=True))
 
 
-_GEO = "CASE WHEN {0} // 10 < 25 AND {0} % 10 <= 8 THEN 'N' || chr(CAST(65 + {0} // 10 AS INTEGER)) ELSE '' END"
+# The narrower range wins: the upper half of the first network of each nation, over IPv4.
+_GEO = """CASE WHEN {0} // 10 < 25 AND {0} % 10 <= 8 THEN
+  CASE WHEN {0} % 10 = 0 AND e.event_id % 256 >= 128 AND e.event_id % 11 <> 0 THEN 'Z' ELSE 'N' END
+  || chr(CAST(65 + {0} // 10 AS INTEGER)) ELSE '' END""".replace("e.event_id", "CAST(e.event_id AS BIGINT)")
 
 
 @query(
     "enrich_country",
     with_(
         EV, WIRE,
-        body=f"SELECT event_id, CASE WHEN country <> '' THEN country ELSE {_GEO.format('(u % 256)')} END AS country FROM wire",
+        body=f"SELECT event_id, CASE WHEN country <> '' THEN country ELSE {_GEO.format('(u % 256)')} END AS country FROM wire e",
     ),
 )
 def enrich_country(spark, sf):
@@ -345,7 +357,7 @@ def enrich_ua(spark, sf):
     )
 
 
-_ENRICHED = f"""SELECT e.project_id, CAST(e.event_date AS VARCHAR) AS event_date, strftime(ts_server, '{_TIME}') AS ts_server,
+ENRICHED = f"""SELECT e.project_id, CAST(e.event_date AS VARCHAR) AS event_date, strftime(ts_server, '{_TIME}') AS ts_server,
   e.event_id, e.event_name, e.user_id, device_id, '' AS session_id, platform, app_version,
   CASE WHEN country <> '' THEN country ELSE {_GEO.format('(u % 256)')} END AS country,
   CAST(revenue_amount AS DOUBLE) AS revenue_amount,
@@ -353,10 +365,12 @@ _ENRICHED = f"""SELECT e.project_id, CAST(e.event_date AS VARCHAR) AS event_date
   ua_family, os_family, device_class FROM wire e"""
 
 
-@query("enriched_events", with_(EV, WIRE, body=_ENRICHED))
+@query("enriched_events", with_(EV, WIRE, body=ENRICHED))
 def enriched_events(spark, sf):
     """Duplicates dropped, then every column of the fact table."""
-    first = dd.deduplicate(testdata.records(spark, sf, copies=True))
+    records = testdata.records(spark, sf, copies=True)
+    known = records.withColumn("ts_server", F.coalesce("ts_server", "ts_client"))
+    first = dd.deduplicate(known)
     return en.enrich(first, testdata.geo_table(spark, sf)).drop("props_json")
 
 
@@ -398,14 +412,17 @@ def required_fields(spark, sf):
     ),
 )
 def user_props_merge(spark, sf):
-    """User properties under those of the event; ``k`` of an event wins over the user's."""
+    """The latest user properties under those of the event; ``k`` of an event wins over the user's."""
     events = testdata.events(spark, sf)
     users = events.filter("user_id <> ''").select("project_id", "user_id").distinct()
     even = F.regexp_extract("user_id", r"(\d+)", 1).cast("long") % 2 == 0
-    props = users.withColumn(
-        "user_props_json", F.when(even, F.lit('{"plan":"pro"}')).otherwise(F.lit('{"plan":"free"}'))
+    now = F.when(even, F.lit('{"plan":"pro"}')).otherwise(F.lit('{"plan":"free"}'))
+    versions = F.array(
+        F.struct(F.lit(2).alias("version"), now.alias("user_props_json")),
+        F.struct(F.lit(1).alias("version"), F.lit('{"plan":"trial"}').alias("user_props_json")),
     )
-    merged = en.merge_user_props(events, props)
+    props = users.select("*", F.inline(versions))
+    merged = en.merge_user_props(events, props, "version")
     return merged.select("event_id", *[F.get_json_object("props_json", f"$.{c}").alias(c) for c in ("k", "plan")])
 
 
@@ -448,3 +465,30 @@ def expire(spark, sf):
     overwrite_days(daily, path, "event_date")
     drop_expired_days(spark, path, "event_date", AS_OF, 10)
     return spark.read.parquet(path).select(*daily.columns)
+
+
+_LATER = "2024-04-15"
+
+
+@query(
+    "expire_events",
+    with_(
+        EV,
+        f"""limits AS (
+          SELECT 'p' || s.s_suppkey AS project_id, CASE s.s_nationkey % 3 WHEN 0 THEN 90 WHEN 1 THEN 365 ELSE 1095 END AS days
+          FROM supplier s JOIN nation n ON n.n_nationkey = s.s_nationkey
+          WHERE s.s_suppkey % 13 <> 12 AND n.n_nationkey % 11 <> 10)""",
+        body=f"""SELECT e.project_id, CAST(event_date AS VARCHAR) AS event_date, count(*) AS events
+          FROM ev e LEFT JOIN limits l USING (project_id)
+          WHERE event_date >= DATE '{_LATER}' - CAST(coalesce(l.days, {EVENT_DAYS}) AS INTEGER) GROUP BY ALL""",
+    ),
+)
+def expire_events_query(spark, sf):
+    """The fact table after events older than the limit of the tier are gone; a second run changes nothing."""
+    path = work_dir(spark, "expire_events")
+    columns = [f.name for f in testdata.EVENTS.fields]
+    warehouse.write_events(testdata.events(spark, sf).select(*columns), path)
+    limits = tenants.retention_limits(testdata.organizations(spark, sf), testdata.games(spark, sf))
+    for _ in range(2):
+        expire_events(spark, path, limits, _LATER)
+    return warehouse.read_events(spark, path).groupBy("project_id", "event_date").agg(F.count(F.lit(1)).alias("events"))

@@ -20,9 +20,22 @@ def dau(spark, sf):
     return metrics.dau(testdata.events(spark, sf))
 
 
-@query("dau_approx")
+@query(
+    "dau_approx",
+    with_(
+        EV,
+        body="SELECT project_id, CAST(event_date AS VARCHAR) AS event_date, count(DISTINCT uid) AS exact, "
+        "true AS within_10_percent FROM ev GROUP BY ALL",
+    ),
+)
 def dau_approx(spark, sf):
-    return metrics.dau(testdata.events(spark, sf), approximate=True)
+    """The estimate next to the exact count."""
+    events = testdata.events(spark, sf)
+    keys = ["project_id", "event_date"]
+    estimate = metrics.dau(events, approximate=True).withColumnRenamed("dau", "estimate")
+    both = metrics.dau(events).join(estimate, keys)
+    close = F.abs(F.col("estimate") - F.col("dau")) <= F.col("dau") * 0.1
+    return both.select(*keys, F.col("dau").alias("exact"), close.alias("within_10_percent"))
 
 
 @query("revenue_by_day", view_sql("v_revenue_by_day"))

@@ -27,9 +27,9 @@ ev AS (
     'exp' || (k % 3) AS exp, CASE WHEN user_id % 2 = 0 THEN 'A' ELSE 'B' END AS variant,
     CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(18,4)) ELSE 0 END AS revenue_amount,
     CASE WHEN user_id % 2 = 0 THEN 'USD' ELSE 'EUR' END AS revenue_currency,
-    {_pick('user_id % 6', [a[0] for a in AGENTS])} AS ua_family,
-    {_pick('user_id % 6', [a[1] for a in AGENTS])} AS os_family,
-    {_pick('user_id % 6', [a[2] for a in AGENTS])} AS device_class
+    {_pick(f'user_id % {len(AGENTS)}', [a[0] for a in AGENTS])} AS ua_family,
+    {_pick(f'user_id % {len(AGENTS)}', [a[1] for a in AGENTS])} AS os_family,
+    {_pick(f'user_id % {len(AGENTS)}', [a[2] for a in AGENTS])} AS device_class
   FROM base)"""
 
 CONV = """conv AS (

@@ -93,7 +93,7 @@ def org_stats_as_written(spark, sf):
           CASE WHEN o_orderkey % 2 = 0 THEN 'p' || (o_orderkey % 150) END AS game_id,
           CASE WHEN o_orderpriority = '1-URGENT' THEN 'GAME_ADMIN' ELSE 'VIEWER' END AS role,
           CASE WHEN o_orderkey % 2 = 0 THEN 'GAME' ELSE 'ORGANIZATION' END AS scope
-          FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH'))""",
+          FROM orders)""",
         body="""SELECT u.id AS user_id, u.email, u.name, u.global_role, r.org_id, r.game_id,
           CAST(NULL AS VARCHAR) AS environment_id, r.role, r.scope, o.name AS org_name, g.name AS game_name
         FROM users u LEFT JOIN roles r ON u.id = r.user_id LEFT JOIN orgs o ON r.org_id = o.id
@@ -330,15 +330,15 @@ def refused_requests(spark, sf):
         REQUESTS,
         body=f"""SELECT client_ip, request_id, strftime(ts, '{_TIME}') AS ts, ordinal FROM (
           SELECT *, row_number() OVER (PARTITION BY client_ip, minute ORDER BY ts, request_id) AS ordinal FROM (
-          SELECT regexp_replace(client_ip, '^(\\d+)\\..*$', '\\1.0.0.0') AS client_ip, request_id, ts, date_trunc('minute', ts) AS minute FROM requests))
-          WHERE ordinal > 3""",
+          SELECT regexp_replace(client_ip, '^(\\d+\\.\\d+)\\..*$', '\\1.0.0') AS client_ip, request_id, ts, date_trunc('minute', ts) AS minute FROM requests))
+          WHERE ordinal > 1""",
     ),
 )
 def refused_by_address(spark, sf):
-    """The per-address limit, on /8 networks and three requests per minute."""
+    """The per-address limit, on /16 networks and one request per minute."""
     from pyspark.sql import functions as F
 
     requests = testdata.requests(spark, sf).withColumn(
-        "client_ip", F.regexp_replace("client_ip", r"^(\d+)\..*$", "$1.0.0.0")
+        "client_ip", F.regexp_replace("client_ip", r"^(\d+\.\d+)\..*$", "$1.0.0")
     )
-    return usage.refused_requests(requests, "client_ip", 3)
+    return usage.refused_requests(requests, "client_ip", 1)

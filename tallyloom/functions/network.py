@@ -16,9 +16,19 @@ def client_ip(forwarded_for: Column, remote: Column) -> Column:
     return F.when(forwarded_for != "", first).otherwise(remote)
 
 
+def _dotted_tail_as_groups(ip: Column) -> Column:
+    """An IPv6 text whose last 32 bits are written as IPv4, with two groups in their place."""
+    tail = F.regexp_extract(ip, r"([^:]*)$", 1)
+    value = ipv4_to_long(tail)
+    groups = F.concat(F.hex(F.shiftright(value, 16)), F.lit(":"), F.hex(value.bitwiseAND(F.lit(65535))))
+    head = F.regexp_replace(ip, r"[^:]*$", "")
+    return F.when(ip.contains(":") & value.isNotNull(), F.concat(head, groups)).otherwise(ip)
+
+
 def _ipv6_groups(ip: Column) -> Column:
-    """The eight groups of an IPv6 text, ``::`` expanded; the size is wrong for bad text."""
-    halves = F.split(ip, "::")
+    """The eight groups of an IPv6 text in lower case, ``::`` expanded; NULL for bad text."""
+    bare = _dotted_tail_as_groups(F.regexp_replace(ip, r"%.*$", ""))
+    halves = F.split(bare, "::")
 
     def groups(half: Column) -> Column:
         return F.filter(F.split(half, ":"), lambda g: g != "")
@@ -26,27 +36,37 @@ def _ipv6_groups(ip: Column) -> Column:
     left, right = groups(halves[0]), groups(F.get(halves, F.lit(1)))
     gap = F.greatest(F.lit(8) - F.size(left) - F.size(right), F.lit(0))
     expanded = F.concat(left, F.array_repeat(F.lit("0"), gap), right)
-    return F.when(F.size(halves) == 2, expanded).otherwise(F.split(ip, ":"))
-
-
-def coarse_ip(ip: Column) -> Column:
-    """IPv4 to /24, IPv6 to /48 in the uncompressed form; NULL when it is no address."""
-    bare = F.regexp_replace(ip, r"%.*$", "")
-    groups = _ipv6_groups(bare)
+    found = F.when(F.size(halves) == 2, expanded).otherwise(F.split(bare, ":"))
     valid = (
-        (F.size(groups) == 8)
-        & F.forall(groups, lambda g: g.rlike(r"^[0-9A-Fa-f]{1,4}$"))
+        ip.contains(":")
+        & (F.size(found) == 8)
+        & F.forall(found, lambda g: g.rlike(r"^[0-9A-Fa-f]{1,4}$"))
         & (F.regexp_count(bare, F.lit("::")) <= 1)
         & ~bare.contains(":::")
     )
-    kept = F.transform(
-        F.slice(groups, 1, 3), lambda g: F.lower(F.regexp_replace(g, r"^0+(?=.)", ""))
-    )
-    ipv6 = F.concat(F.concat_ws(":", kept), F.lit(":0:0:0:0:0"))
+    return F.when(valid, F.transform(found, lambda g: F.lower(F.regexp_replace(g, r"^0+(?=.)", ""))))
+
+
+def _is_mapped(groups: Column) -> Column:
+    """Is it an IPv4 address in IPv6 form (80 zero bits, 16 one bits)?"""
+    zeros = F.forall(F.slice(groups, 1, 5), lambda g: g == "0")
+    return F.coalesce(zeros & (F.get(groups, F.lit(5)) == "ffff"), F.lit(False))
+
+
+def coarse_ip(ip: Column) -> Column:
+    """IPv4 to /24, IPv6 to /48 in the uncompressed form; NULL when it is no address.
+
+    An IPv4 address in IPv6 form counts as IPv4: its dotted form loses the last number, and
+    its hexadecimal form stays as it is.
+    """
+    groups = _ipv6_groups(ip)
+    ipv6 = F.concat(F.concat_ws(":", F.slice(groups, 1, 3)), F.lit(":0:0:0:0:0"))
+    mapped = F.when(ip.contains("."), F.regexp_replace(ip, r"\d+$", "0")).otherwise(ip)
     return (
         F.when(ip.rlike(_IPV4), F.regexp_replace(ip, r"\d+$", "0"))
         .when(ip.rlike(_SHORT_IPV4), ip)
-        .when(ip.contains(":") & valid, ipv6)
+        .when(_is_mapped(groups), mapped)
+        .when(groups.isNotNull(), ipv6)
     )
 
 
@@ -70,6 +90,14 @@ def ipv4_to_long(ip: Column) -> Column:
     return F.when(ip.rlike(_IPV4), value)
 
 
-def ipv4_bucket(address: Column) -> Column:
-    """The /16 prefix: the equi-join key of the range lookup."""
-    return F.shiftright(address, 16)
+def address_key(ip: Column) -> Column:
+    """An address as hexadecimal digits that sort like addresses: 8 for IPv4, also in IPv6 form, and 32
+    for IPv6. NULL for anything else."""
+    groups = _ipv6_groups(ip)
+    digits = F.array_join(F.transform(groups, lambda g: F.lpad(g, 4, "0")), "")
+    v4 = ipv4_to_long(ip)
+    return (
+        F.when(v4.isNotNull(), F.lower(F.lpad(F.hex(v4), 8, "0")))
+        .when(_is_mapped(groups), F.right(digits, F.lit(8)))
+        .when(groups.isNotNull(), digits)
+    )

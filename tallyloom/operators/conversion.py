@@ -22,13 +22,17 @@ def first_conversion(events: DataFrame, event_name: str = PRIMARY_EVENT) -> Data
 
 
 def first_conversion_by_experiment(events: DataFrame, running: DataFrame) -> DataFrame:
-    """First conversion per experiment and actor, on the primary metric of its config."""
+    """First conversion per experiment and actor, on the primary metric of its config.
+
+    Only events that are the primary metric of an experiment of their project are aggregated.
+    """
     primary = running.select(
         "project_id",
         F.col("id").alias("exp"),
         F.coalesce("config.metrics.primary", F.lit(PRIMARY_EVENT)).alias("event_name"),
     )
-    firsts = events.groupBy("project_id", "event_name", uid().alias("uid")).agg(
+    wanted = events.join(primary.select("project_id", "event_name").distinct(), ["project_id", "event_name"], "left_semi")
+    firsts = wanted.groupBy("project_id", "event_name", uid().alias("uid")).agg(
         F.min("ts_server").alias("conv_ts")
     )
     return firsts.join(primary, ["project_id", "event_name"]).select(

@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.events import blank_if_null, to_millis
 from tallyloom.functions.json_text import put_if_absent
-from tallyloom.functions.network import ipv4_bucket, ipv4_to_long
+from tallyloom.functions.network import address_key
 from tallyloom.operators.ingest import INVALID_SCHEMA, REQUIRED
 from tallyloom.schema import EVENTS
 from tallyloom.sources.dimensions import (
     AGENT_RULES,
     DEVICE_RULES,
     OS_RULES,
-    geo_ranges,
+    address_prefixes,
+    geo_blocks,
     match_rules,
 )
 
@@ -35,7 +36,7 @@ def split_required(records: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def fill_server_time(records: DataFrame) -> DataFrame:
-    """A missing server time becomes now."""
+    """A missing server time becomes now, which is the start of the query or of the micro-batch."""
     now = F.unix_micros(F.current_timestamp())
     return records.withColumn("ts_server", F.coalesce("ts_server", now))
 
@@ -43,25 +44,30 @@ def fill_server_time(records: DataFrame) -> DataFrame:
 def add_country(events: DataFrame, ranges: DataFrame) -> DataFrame:
     """Fill an empty country from the address range that holds the client address.
 
-    The range join is an equi join on the /16 prefix plus a filter. Events that keep their
-    country get no prefix, so they match nothing and a null key is not shuffled to one task:
-    it carries a random-looking negative prefix instead.
+    The distinct addresses are looked up by equality of a prefix, and each gets one answer: that of the range
+    that begins last and, of these, ends first, which is the narrowest of nested ranges. Events that
+    need no lookup match nothing and carry spread keys, so they are not shuffled to one task.
     """
     needs = (F.coalesce("country", F.lit("")) == "") & (F.coalesce("client_ip", F.lit("")) != "")
-    address = F.when(needs, ipv4_to_long(F.col("client_ip")))
-    spread = -1 - F.pmod(F.xxhash64("event_id"), F.lit(1_000_000))
-    keyed = events.withColumns(
-        {"_address": address, "_prefix": F.coalesce(ipv4_bucket(address), spread)}
+    key = F.when(needs, address_key(F.col("client_ip")))
+    asked = events.select(key.alias("_address")).filter("_address IS NOT NULL").distinct()
+    blocks = geo_blocks(ranges).withColumn(
+        # Ends compare the other way round: the largest is that of the smallest end.
+        "_range", F.struct("low", F.translate("high", "0123456789abcdef", "fedcba9876543210").alias("end"), "geo")
     )
-    table = geo_ranges(ranges)
-    match = (F.col("_prefix") == F.col("prefix")) & F.col("_address").between(
-        F.col("low"), F.col("high")
+    found = (
+        asked.withColumn("prefix", F.explode(address_prefixes(F.col("_address"))))
+        .join(blocks.select("prefix", "_range"), "prefix")
+        .groupBy(F.col("_address").alias("_found"))
+        .agg(F.max("_range")["geo"].alias("_geo"))
     )
-    country = F.coalesce(F.nullif(F.col("country"), F.lit("")), F.col("geo"), F.lit(""))
+    spread = F.concat(F.lit("-"), F.pmod(F.xxhash64("event_id"), F.lit(1_000_000)).cast("string"))
+    country = F.coalesce(F.nullif(F.col("country"), F.lit("")), F.col("_geo"), F.lit(""))
     return (
-        keyed.join(table, match, "left")
+        events.withColumn("_address", F.coalesce(key, spread))
+        .join(found, F.col("_address") == F.col("_found"), "left")
         .withColumn("country", country)
-        .drop("_address", "_prefix", "prefix", "low", "high", "geo")
+        .drop("_address", "_found", "_geo")
     )
 
 
@@ -94,17 +100,32 @@ def revenue_columns(
     }
 
 
-def merge_user_props(events: DataFrame, user_props: DataFrame) -> DataFrame:
+def latest_user_props(user_props: DataFrame, order: str | None = None) -> DataFrame:
+    """One row per user: the one with the largest ``order`` column, ties by the larger text."""
+    rank = F.struct(*([order] if order else []), "user_props_json")
+    newest = user_props.groupBy("project_id", "user_id").agg(F.max(rank).alias("row"))
+    return newest.select("project_id", "user_id", F.col("row.user_props_json").alias("user_props_json"))
+
+
+def merge_user_props(events: DataFrame, user_props: DataFrame, order: str | None = None) -> DataFrame:
     """Put the user properties of ``(project_id, user_id, user_props_json)`` under the event
-    properties; the value of the event wins."""
+    properties; the value of the event wins.
+
+    Of several rows of a user the latest by ``order`` counts. Events without a user match nothing
+    and carry spread keys.
+    """
     own = F.from_json("props_json", "map<string,variant>")
     base = F.from_json("user_props_json", "map<string,variant>")
     under = F.map_filter(base, lambda k, _: ~F.array_contains(F.map_keys(own), k))
     merged = F.to_json(F.to_variant_object(F.map_concat(under, own)))
+    latest = latest_user_props(user_props.filter("user_id <> ''"), order)
+    named = F.nullif(F.col("user_id"), F.lit(""))
+    spread = F.concat(F.lit("\0"), F.pmod(F.xxhash64("event_id"), F.lit(1_000_000)).cast("string"))
     return (
-        events.join(user_props, ["project_id", "user_id"], "left")
+        events.withColumn("_user", F.coalesce(named, spread))
+        .join(latest.withColumnRenamed("user_id", "_user"), ["project_id", "_user"], "left")
         .withColumn("props_json", F.coalesce(merged, F.col("props_json")))
-        .drop("user_props_json")
+        .select(*events.columns)
     )
 
 

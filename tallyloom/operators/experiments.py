@@ -13,6 +13,8 @@ from tallyloom.functions.json_text import json_fields
 EXPOSURE_EVENT = "experiment_exposure"
 DIMS = ("platform", "app_version", "country")
 DEFAULT_VARIANT = "A"
+# Parts into which the users of a project are dealt for the join with its experiments.
+SALTS = 64
 
 
 def exposures(events: DataFrame, strict: bool = False) -> DataFrame:
@@ -116,10 +118,14 @@ def is_targeted(
 def assign(users: DataFrame, running: DataFrame, mode: str = "canonical") -> DataFrame:
     """The variant of each user in each running experiment of the same project.
 
-    ``users`` has ``project_id, key`` and the targeting columns. The join is on the project;
-    the few experiment rows carry everything that does not depend on the user.
+    ``users`` has ``project_id, key`` and the targeting columns. The few experiment rows carry
+    everything that does not depend on the user. They are repeated ``SALTS`` times and users are dealt
+    to the copies, so the users of a large project do not meet in one task.
     """
-    joined = users.join(prepare_variants(running, mode), "project_id").filter(is_targeted())
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    prepared = prepare_variants(running, mode).withColumn("salt_", salts)
+    dealt = users.withColumn("salt_", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+    joined = dealt.join(prepared, ["project_id", "salt_"]).filter(is_targeted())
     return joined.select(
         "project_id",
         F.col("id").alias("exp"),

@@ -15,6 +15,7 @@ from tallyloom.functions import masking
 from tallyloom.functions.events import micros_from_text
 from tallyloom.functions.network import apply_ip_mode, client_ip
 from tallyloom.schema import STREAM_RECORD
+from tallyloom.sources.files import MAX_REQUEST_BYTES
 
 # Reasons, sizes in bytes, lengths in characters, default key lists.
 INVALID_SCHEMA = "invalid_schema"
@@ -49,7 +50,7 @@ class IngestDefaults:
     deny_keys: tuple[str, ...] = ("password", "pass", "passwd", "credit_card", "ssn")
     mask_keys: tuple[str, ...] = ("email", "phone", "mobile")
     max_event_bytes: int = 65_536
-    max_request_bytes: int = 1_048_576
+    max_request_bytes: int = MAX_REQUEST_BYTES
 
 
 def _text_array(values) -> Column:
@@ -122,17 +123,23 @@ def with_policy(
 
 
 def with_request_size(events: DataFrame) -> DataFrame:
-    """Add ``request_bytes``, the bytes of all lines of a batch, where the source gave none.
+    """Fill ``request_bytes``, the unpacked bytes of a request, where the source does not know it: the bytes of
+    all lines of a batch. A row without a batch id is a request of its own.
 
     Only the batch id and the line size are aggregated, map side first; the join adds one
-    number per event and leaves the split of a large batch to AQE.
+    number per event and leaves the split of a large batch to AQE. Rows whose size is known match
+    nothing and carry spread keys.
     """
-    if "request_bytes" in events.columns:
-        return events
+    known = F.col("request_bytes") if "request_bytes" in events.columns else F.lit(None).cast("long")
     if events.isStreaming:
-        raise ValueError("a streaming source must provide request_bytes")
-    sizes = events.groupBy("batch_id").agg(F.sum(F.col("raw_bytes") + 1).alias("request_bytes"))
-    return events.join(sizes, "batch_id", "left")
+        raise ValueError("sizes are added up per micro-batch: use streaming.jobs.ingest_lines")
+    line = F.col("raw_bytes") + 1
+    asks = known.isNull() & F.col("batch_id").isNotNull()
+    sizes = events.filter(asks).groupBy(F.col("batch_id").alias("_batch")).agg(F.sum(line).alias("_bytes"))
+    spread = F.concat(F.lit("\0"), F.pmod(F.xxhash64("raw"), F.lit(1_000_000)).cast("string"))
+    key = F.when(asks, F.col("batch_id")).otherwise(spread)
+    joined = events.withColumn("_key", key).join(sizes, F.col("_key") == F.col("_batch"), "left")
+    return joined.withColumn("request_bytes", F.coalesce(known, F.col("_bytes"), line)).drop("_key", "_batch", "_bytes")
 
 
 def _schema_error() -> Column:
@@ -199,13 +206,15 @@ def classify(
         F.struct(
             "event_id", "event_name", "project_id", "user_id", "device_id", "session_id",
             "ts_client", "ts_server", "platform", "app_version", "country", "client_ip",
-            "user_agent", "revenue_amount", "revenue_currency", "props_json",
+            "user_agent", "revenue_amount", "revenue_currency",
         ),
         {"ignoreNullFields": "false"},
     )
+    # The props are an object of the event, not a text in it.
+    body_bytes = F.octet_length(body) + F.octet_length(F.lit(',"props":')) + F.octet_length(F.coalesce("props_json", F.lit("null")))
     required = _schema_error()
     lengths = _length_error()
-    too_large = F.octet_length(body) > defaults.max_event_bytes
+    too_large = body_bytes > defaults.max_event_bytes
     oversize = F.col("request_bytes") > defaults.max_request_bytes
     reason = (
         F.when(oversize | (F.col("partition") < 0), F.lit(REQUEST_TOO_LARGE))
@@ -254,16 +263,18 @@ def batch_report(classified: DataFrame) -> DataFrame:
     """Per batch the accepted ids and the refused ``{event_id, reason}`` pairs.
 
     A batch is one request, so its lists are bounded by the request size limit. Requests
-    above the limit are refused whole and get a row without lists.
+    above the limit are refused whole and get a row without lists. A row without a batch id is a
+    request of its own.
     """
     refused = F.col("reason") == REQUEST_TOO_LARGE
     known = F.col("reason").isNotNull() & ~refused
     pair = F.struct(F.coalesce("event_id", F.lit("")).alias("event_id"), "reason")
-    return classified.groupBy("batch_id").agg(
+    alone = F.when(F.col("batch_id").isNull(), F.monotonically_increasing_id())
+    return classified.groupBy("batch_id", alone.alias("_row")).agg(
         F.count(F.lit(1)).alias("events"),
         F.count_if(F.col("reason").isNull()).alias("accepted_events"),
         F.count_if(F.col("reason").isNotNull()).alias("rejected_events"),
         F.sort_array(F.collect_list(F.when(F.col("reason").isNull(), F.col("event_id")))).alias("accepted"),
         F.sort_array(F.collect_list(F.when(known, pair))).alias("rejected"),
         F.coalesce(F.bool_or(refused), F.lit(False)).alias("refused"),
-    )
+    ).drop("_row")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.events import rate, uid
 from tallyloom.operators import conversion as conv
+from tallyloom.operators import metrics
 from tallyloom.operators.experiments import DIMS, exposures, exposures_by_day
 from tallyloom.sinks.tables import overwrite_days
 
@@ -54,52 +56,110 @@ ROLLUPS = [
 KEEP_DAYS = 400
 LONGEST_WINDOW_DAYS = 7
 
+# Stored state below the folder of the rollups. Each load is a partition, so a repeated load replaces itself.
+DETAIL, FIRSTS = "exp_exposure_detail", "exp_first_conversion"
+ACTORS, ACTOR_SKETCHES = "actors_by_day", "actor_sketches_by_day"
+# Additive daily tables: the view that makes the rows of one load, its keys and its sums.
+SUMS: dict[str, tuple[Callable[[DataFrame], DataFrame], tuple[str, ...], tuple[str, ...]]] = {
+    "events_by_day": (metrics.events_by_day, ("project_id", "event_date", "event_name"), ("events",)),
+    "revenue_by_day": (metrics.revenue_by_day, ("project_id", "event_date", "revenue_currency"), ("revenue",)),
+    "agents_by_day": (
+        metrics.agents_by_day, ("project_id", "event_date", "ua_family", "os_family"), ("events",)
+    ),
+}
 
-def touched_days(new: DataFrame, before: DataFrame) -> DataFrame:
-    """Exposure days whose rollups change when ``new`` events join those of ``before``.
 
-    These are the days of new exposures and, for each user whose first conversion moved, the
-    days within the longest window before the old and the new first conversion. A later
-    conversion of a user who has one changes nothing.
+def _put(df: DataFrame, path: str, load_id: int, *by: str) -> None:
+    """Write the rows of one load of a state table; a repeated load replaces them."""
+    (
+        df.withColumn("load_id", F.lit(load_id).cast("long"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*by, "load_id")
+        .parquet(path)
+    )
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def read_firsts(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """First conversions stored by the loads (before one of them): the minimum per actor."""
+    rows = spark.read.parquet(f"{path}/{FIRSTS}")
+    if before is not None:
+        rows = rows.filter(F.col("load_id") < before)
+    return rows.groupBy("project_id", "uid").agg(F.min("conv_ts").alias("conv_ts"))
+
+
+def read_detail(spark: SparkSession, path: str) -> DataFrame:
+    """The stored exposures, with their ``day``."""
+    return spark.read.parquet(f"{path}/{DETAIL}").withColumn("day", F.col("day").cast("date")).drop("load_id")
+
+
+def touched_days(new: DataFrame, moved: DataFrame) -> DataFrame:
+    """Exposure days whose rollups change with ``new`` events and ``moved`` first conversions
+    (``new_ts``, and ``old_ts`` or NULL).
+
+    These are the days of new exposures and the days within the longest window before the old
+    and the new first conversion. A later conversion of a user who has one changes nothing.
     """
     days = exposures(new).select(F.to_date("expose_ts").alias("day"))
-    fresh = conv.first_conversion(new).withColumnRenamed("conv_ts", "new_ts")
-    known = (
-        before.withColumn("uid", uid())
-        .join(fresh.select("project_id", "uid"), ["project_id", "uid"], "left_semi")
-    )
-    old = conv.first_conversion(known).withColumnRenamed("conv_ts", "old_ts")
-    moved = fresh.join(old, ["project_id", "uid"], "left").filter(
-        F.col("old_ts").isNull() | (F.col("new_ts") < F.col("old_ts"))
-    )
     ends = F.explode(F.array_compact(F.array("new_ts", "old_ts")))
-    reach = moved.select(ends.alias("ts")).select(
-        F.explode(
-            F.sequence(F.date_sub(F.to_date("ts"), LONGEST_WINDOW_DAYS), F.to_date("ts"))
-        ).alias("day")
-    )
-    return days.unionByName(reach).distinct()
+    span = F.sequence(F.date_sub(F.to_date("ts"), LONGEST_WINDOW_DAYS), F.to_date("ts"))
+    return days.unionByName(moved.select(ends.alias("ts")).select(F.explode(span).alias("day"))).distinct()
 
 
-def rebuild(
-    events: DataFrame, path: str, days: DataFrame | None = None, rollups: list[Rollup] = ROLLUPS
-) -> None:
-    """Recompute day partitions of the rollup tables below ``path`` and replace them.
+def refresh(new: DataFrame, path: str, load_id: int = 0, rollups: list[Rollup] = ROLLUPS) -> None:
+    """Bring all stored tables below ``path`` up to date after a load of ``new`` events.
 
-    ``days`` (one column ``day``) limits the work; the semi join on the day lets Spark prune
-    partitions of a fact table partitioned by day. ``events`` must hold all conversions of
-    the users concerned. One join gives the counts of all windows at the finest grain; the
-    coarser conversion tables are sums of them. A repeated run writes the same days again.
+    Nothing earlier is read but the state: first conversions of the actors concerned, and the stored
+    exposures of the days whose numbers change (their folders alone). The additive daily tables get
+    the sums of the load; readers add them up. The days are listed on the driver, one value per calendar day.
+    Loads must come with growing ids; the last one may be repeated.
     """
-    exposed = exposures(events)
-    if days is not None:
-        exposed = exposed.withColumn("day", F.to_date("expose_ts")).join(days, "day", "left_semi").drop("day")
+    spark = new.sparkSession
+    fresh = conv.first_conversion(new).withColumnRenamed("conv_ts", "new_ts")
+    if _exists(spark, f"{path}/{FIRSTS}"):
+        stored = spark.read.parquet(f"{path}/{FIRSTS}").filter(F.col("load_id") < load_id)
+        known = stored.join(fresh.select("project_id", "uid"), ["project_id", "uid"], "left_semi")
+        old = known.groupBy("project_id", "uid").agg(F.min("conv_ts").alias("old_ts"))
+        moved = fresh.join(old, ["project_id", "uid"], "left")
+    else:
+        moved = fresh.withColumn("old_ts", F.lit(None).cast("timestamp"))
+    moved = moved.filter(F.col("old_ts").isNull() | (F.col("new_ts") < F.col("old_ts")))
+    moved = moved.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        days = [r["day"] for r in touched_days(new, moved).collect()]
+        _put(moved.select("project_id", "uid", F.col("new_ts").alias("conv_ts")), f"{path}/{FIRSTS}", load_id)
+    finally:
+        moved.unpersist()
+    detail = exposures(new).withColumn("day", F.to_date("expose_ts"))
+    _put(detail.hint("rebalance", "day"), f"{path}/{DETAIL}", load_id, "day")
+    for name, (build, _, _) in SUMS.items():
+        if name != "agents_by_day" or "ua_family" in new.columns:
+            _put(build(new), f"{path}/{name}", load_id)
+    _put(new.select("project_id", "event_date", uid().alias("uid")).distinct(), f"{path}/{ACTORS}", load_id)
+    _put(metrics.dau_state(new), f"{path}/{ACTOR_SKETCHES}", load_id)
+    _rewrite_days(spark, path, days, rollups)
+
+
+def _rewrite_days(spark: SparkSession, path: str, days: list, rollups: list[Rollup]) -> None:
+    """Recompute day partitions of the rollup tables from the stored state and replace them.
+
+    One join gives the counts of all windows at the finest grain; the coarser conversion tables
+    are sums of them.
+    """
+    exposed = read_detail(spark, path).filter(F.col("day").isin(days)).drop("day")
     exposed = exposed.persist(StorageLevel.MEMORY_AND_DISK)
     hours = tuple(sorted({r.hours for r in rollups if r.hours}))
     counts = None
     if hours:
-        counts = conv.window_counts(exposed, conv.first_conversion(events), hours, DIMS)
-        counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
+        firsts = spark.read.parquet(f"{path}/{FIRSTS}")
+        firsts = firsts.join(exposed.select("project_id", "uid").distinct(), ["project_id", "uid"], "left_semi")
+        firsts = firsts.groupBy("project_id", "uid").agg(F.min("conv_ts").alias("conv_ts"))
+        counts = conv.window_counts(exposed, firsts, hours, DIMS).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for r in rollups:
             table = r.from_counts(counts) if r.hours else exposures_by_day(exposed, r.dims)
@@ -110,10 +170,61 @@ def rebuild(
             counts.unpersist()
 
 
-def refresh(new: DataFrame, before: DataFrame, path: str, rollups: list[Rollup] = ROLLUPS) -> None:
-    """Bring the rollups up to date after ``new`` events, ``before`` being all earlier ones."""
-    days = touched_days(new, before)
-    rebuild(before.unionByName(new), path, days, rollups)
+def rebuild(events: DataFrame, path: str, rollups: list[Rollup] = ROLLUPS) -> None:
+    """All stored tables from all events, into an empty folder."""
+    refresh(events, path, 0, rollups)
+
+
+def stored_views(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The stored tables by the name of the view each answers."""
+    sums = {}
+    for name, (_, keys, values) in SUMS.items():
+        rows = spark.read.parquet(f"{path}/{name}")
+        kinds = {v: F.col(v).cast(rows.schema[v].dataType) for v in values}
+        sums[name] = collapse_sum(rows, list(keys), list(values)).withColumns(kinds)
+    actors = spark.read.parquet(f"{path}/{ACTORS}").groupBy("project_id", "event_date")
+    return {
+        "v_events_trend": sums["events_by_day"],
+        "v_revenue_by_day": sums["revenue_by_day"],
+        "v_ua_by_day": metrics.ua_by_day(sums["agents_by_day"]),
+        "v_os_by_day": metrics.os_by_day(sums["agents_by_day"]),
+        "v_dau_trend": actors.agg(F.count_distinct("uid").alias("dau")),
+        "exp_exposure_users": read_detail(spark, path).drop("day"),
+        "exp_first_level_complete": read_firsts(spark, path),
+        **{r.name: read_rollup(spark, path, r) for r in ROLLUPS},
+    }
+
+
+# Versions of the stored tables side by side: one is current, another can be built, compared, and switched to.
+CURRENT = "_current"
+
+
+def version_path(spark: SparkSession, root: str, version: str | None = None) -> str:
+    """The folder of a version, or of the current one."""
+    if version is None:
+        version = spark.read.text(f"{root}/{CURRENT}").first()["value"]
+    return f"{root}/{version}"
+
+
+def build_version(events: DataFrame, root: str, version: str) -> None:
+    """Recompute everything aside; readers go on with the current version."""
+    rebuild(events, version_path(events.sparkSession, root, version))
+
+
+def verify_version(spark: SparkSession, root: str, version: str) -> dict[str, int]:
+    """Per daily table the number of keys that differ from the current version."""
+    old, new = version_path(spark, root), version_path(spark, root, version)
+    out = {}
+    for r in ROLLUPS:
+        a, b = read_rollup(spark, old, r), read_rollup(spark, new, r)
+        keys = [c for c in a.columns if c in ("project_id", r.day, "exp", "variant", *DIMS)]
+        out[r.name] = differences(a, b.select(*a.columns), keys).count()
+    return out
+
+
+def switch_version(spark: SparkSession, root: str, version: str) -> None:
+    """Make a version the current one, by replacing one small file."""
+    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/{CURRENT}")
 
 
 def read_rollup(spark: SparkSession, path: str, rollup: Rollup) -> DataFrame:

@@ -69,18 +69,32 @@ def organization_stats(
     )
 
 
+def retention_limits(orgs: DataFrame, games: DataFrame) -> DataFrame:
+    """Days that events of a project are kept: the limit of its organization, else that of the tier."""
+    limit = F.coalesce(F.col("max_data_retention_days"), tier_quota("tier", 2))
+    days = _alive(orgs).select(F.col("id").alias("org_id"), limit.alias("days"))
+    return _alive(games).select(F.col("id").alias("project_id"), "org_id").join(days, "org_id").select("project_id", "days")
+
+
 def user_permissions(
     users: DataFrame, roles: DataFrame, orgs: DataFrame, games: DataFrame
 ) -> DataFrame:
     """Users with each of their roles and the names of its organization and game."""
     r = roles.select("user_id", "org_id", "game_id", "environment_id", "role", "scope")
-    o = orgs.select(F.col("id").alias("org_id"), F.col("name").alias("org_name"))
-    g = games.select(F.col("id").alias("game_id"), F.col("name").alias("game_name"))
+    o = orgs.select(F.col("id").alias("_org"), F.col("name").alias("org_name"))
+    g = games.select(F.col("id").alias("_game"), F.col("name").alias("game_name"))
     u = _alive(users).select(F.col("id").alias("user_id"), "email", "name", "global_role")
+
+    def key(name: str):
+        """The id; a row without one matches nothing and carries a spread key."""
+        spread = F.concat(F.lit("\0"), F.pmod(F.xxhash64("user_id"), F.lit(1_000_000)).cast("string"))
+        return F.coalesce(F.col(name), spread)
+
     return (
         u.join(r, "user_id", "left")
-        .join(o, "org_id", "left")
-        .join(g, "game_id", "left")
+        .withColumns({"_org": key("org_id"), "_game": key("game_id")})
+        .join(o, "_org", "left")
+        .join(g, "_game", "left")
         .select("user_id", "email", "name", "global_role", "org_id", "game_id", "environment_id", "role", "scope", "org_name", "game_name")
     )
 

@@ -8,10 +8,9 @@ grown stays correct.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyloom.functions.network import ipv4_bucket, ipv4_to_long
+from tallyloom.functions.network import address_key
 from tallyloom.schema import EXPERIMENT_CONFIG
 
 # User-agent rules as (pattern, name), first match wins.
@@ -53,27 +52,71 @@ def match_rules(text: Column, rules: list[tuple[str, str]]) -> Column:
     return result.otherwise(F.lit(UNKNOWN))
 
 
-def geo_ranges(ranges: DataFrame) -> DataFrame:
-    """Prepare ``(start_ip, end_ip, country)`` for the lookup: one row per /16 it touches."""
-    low, high = ipv4_to_long(F.col("start_ip")), ipv4_to_long(F.col("end_ip"))
-    numeric = ranges.select(low.alias("low"), high.alias("high"), F.col("country").alias("geo"))
-    return numeric.filter("low <= high").select(
-        "low",
-        "high",
-        "geo",
-        F.explode(F.sequence(ipv4_bucket(F.col("low")), ipv4_bucket(F.col("high")))).alias("prefix"),
+def address_prefixes(key: Column) -> Column:
+    """All beginnings of an address key, each with the family of the address in front."""
+    family = F.concat(F.length(key).cast("string"), F.lit(":"))
+    return F.transform(F.sequence(F.lit(0), F.length(key)), lambda i: F.concat(family, F.substr(key, F.lit(1), i)))
+
+
+def _run(head: Column, first: Column, last: Column) -> Column:
+    """The blocks ``head`` + digit for the digits from ``first`` to ``last``."""
+    digits = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+    return F.transform(digits, lambda d: F.concat(head, F.lower(F.hex(d))))
+
+
+def geo_blocks(ranges: DataFrame) -> DataFrame:
+    """``(start_ip, end_ip, country)`` as aligned blocks: ``prefix`` (what the keys of all addresses in the
+    block begin with, see ``address_prefixes``), ``low``, ``high`` and ``geo``. IPv4 and IPv6.
+
+    A range is cut at its ends digit by digit, into at most 30 blocks per digit of the address however
+    wide it is, so an address is looked up by equality with one of its own prefixes. Ranges with
+    bad or mixed ends are left out.
+    """
+    keyed = ranges.select(
+        address_key(F.col("start_ip")).alias("low"),
+        address_key(F.col("end_ip")).alias("high"),
+        F.col("country").alias("geo"),
+    ).filter((F.length("low") == F.length("high")) & (F.col("low") <= F.col("high")))
+    low, high, size = F.col("low"), F.col("high"), F.length("low")
+    places = F.sequence(F.lit(1), size)
+    differ = F.filter(places, lambda i: F.substr(low, i, F.lit(1)) != F.substr(high, i, F.lit(1)))
+    # Behind these lengths the low end has only zeros and the high end only f.
+    cut = keyed.withColumns(
+        {
+            "same": F.coalesce(F.array_min(differ) - 1, size),
+            "starts": F.length(F.regexp_replace(low, "0+$", "")),
+            "ends": F.length(F.regexp_replace(high, "f+$", "")),
+        }
     )
+    same, starts, ends = F.col("same"), F.col("starts"), F.col("ends")
 
+    def head(text: Column, n: Column) -> Column:
+        return F.substr(text, F.lit(1), n)
 
-def overlapping_ranges(ranges: DataFrame) -> DataFrame:
-    """Ranges that start before an earlier one of their /16 ends; the lookup needs none."""
-    order = W.partitionBy("prefix").orderBy("low", "high")
-    before = order.rowsBetween(W.unboundedPreceding, -1)
-    return (
-        geo_ranges(ranges)
-        .withColumn("reach", F.max("high").over(before))
-        .filter(F.col("low") <= F.col("reach"))
-        .drop("reach")
+    def digit(text: Column, place: Column) -> Column:
+        return F.conv(F.substr(text, place, F.lit(1)), 16, 10).cast("int")
+
+    def levels(last: Column) -> Column:
+        return F.when(last > same + 1, F.sequence(same + 2, last)).otherwise(F.array().cast("array<int>"))
+
+    middle = _run(
+        head(low, same),
+        digit(low, same + 1) + F.when(starts > same + 1, 1).otherwise(0),
+        digit(high, same + 1) - F.when(ends > same + 1, 1).otherwise(0),
+    )
+    left = F.transform(
+        levels(starts),
+        lambda k: _run(head(low, k - 1), digit(low, k) + F.when(k < starts, 1).otherwise(0), F.lit(15)),
+    )
+    right = F.transform(
+        levels(ends),
+        lambda k: _run(head(high, k - 1), F.lit(0), digit(high, k) - F.when(k < ends, 1).otherwise(0)),
+    )
+    whole = (same == size) | ((starts <= same) & (ends <= same))
+    blocks = F.when(whole, F.array(head(low, same))).otherwise(F.concat(middle, F.flatten(left), F.flatten(right)))
+    family = F.concat(F.length("low").cast("string"), F.lit(":"))
+    return cut.select(F.explode(blocks).alias("block"), "low", "high", "geo").select(
+        F.concat(family, F.col("block")).alias("prefix"), "low", "high", "geo"
     )
 
 

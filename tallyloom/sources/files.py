@@ -7,7 +7,7 @@ that ``operators.ingest`` can send it to the dead letters.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,8 +20,12 @@ REQUEST_COLUMNS = {
     "remote_addr": "string",
     "header_user_agent": "string",
 }
-# Optional column: the size of the whole request, where the source knows it.
+# Optional column: the unpacked size of the whole request, where the source knows it.
 REQUEST_BYTES = "request_bytes"
+# Fixed value: the request limit if no other is given.
+MAX_REQUEST_BYTES = 1_048_576
+# Names of files that a codec of the file source unpacks.
+COMPRESSED = r"\.(gz|gzip|bz2|deflate|lz4|snappy|zst|zstd)$"
 
 _BAD = "_bad"
 
@@ -63,26 +67,31 @@ def _flatten(parsed: DataFrame, rest: list[str]) -> DataFrame:
     return parsed.select(*rest, "raw", "raw_bytes", error.alias("parse_error"), *fields)
 
 
-def read_ndjson(spark: SparkSession, path: str, plain: bool = False) -> DataFrame:
+def _plain_size() -> Column:
+    """The size of an uncompressed file; NULL for a compressed one, whose lines must be added up."""
+    packed = F.col("_metadata.file_name").rlike(COMPRESSED)
+    return F.when(~packed, F.col("_metadata.file_size")).alias(REQUEST_BYTES)
+
+
+def read_ndjson(spark: SparkSession, path: str) -> DataFrame:
     """Newline-delimited events; the file path is the batch id.
 
-    ``plain`` promises that no file is compressed: the file size is then the request size,
-    and ``operators.ingest`` need not add up the lines of a request.
+    The size of a request is that of the unpacked file: ``operators.ingest`` adds up the lines of
+    compressed files.
     """
-    columns = ["value", F.col("_metadata.file_path").alias("batch_id")]
-    if plain:
-        columns.append(F.col("_metadata.file_size").alias(REQUEST_BYTES))
+    columns = ["value", F.col("_metadata.file_path").alias("batch_id"), _plain_size()]
     return parse_lines(spark.read.text(path).select(*columns))
 
 
-def read_json_arrays(spark: SparkSession, path: str, max_bytes: int = 1_048_576) -> DataFrame:
+def read_json_arrays(spark: SparkSession, path: str, max_request_bytes: int = MAX_REQUEST_BYTES) -> DataFrame:
     """Files that hold one JSON array of events each; the file path is the batch id.
 
-    The reader takes a file as one value. Files above ``max_bytes`` on disk, which the request
-    limit refuses anyway, come back as one row with their size and without their content.
+    The reader takes a file as one value. Files above ``max_request_bytes`` on disk come back as one row
+    with their size and without their content: pass the limit of the rules that ``operators.ingest``
+    applies, which refuse these requests. The size of the others is that of the unpacked text.
     """
     files = spark.read.text(path, wholetext=True)
-    small = files.filter(F.col("_metadata.file_size") <= max_bytes).select(
+    small = files.filter(F.col("_metadata.file_size") <= max_request_bytes).select(
         "value",
         F.col("_metadata.file_path").alias("batch_id"),
         F.octet_length("value").cast("long").alias(REQUEST_BYTES),
@@ -90,7 +99,7 @@ def read_json_arrays(spark: SparkSession, path: str, max_bytes: int = 1_048_576)
     large = (
         spark.read.format("binaryFile")
         .load(path)
-        .filter(F.col("length") > max_bytes)
+        .filter(F.col("length") > max_request_bytes)
         .select(
             F.lit(None).cast("string").alias("value"),
             F.col("path").alias("batch_id"),
@@ -114,15 +123,14 @@ def read_json_arrays(spark: SparkSession, path: str, max_bytes: int = 1_048_576)
 
 
 def stream_ndjson(spark: SparkSession, path: str, max_files_per_trigger: int = 1000) -> DataFrame:
-    """The streaming form of ``read_ndjson``; new files in ``path`` are new requests."""
-    lines = (
+    """The streaming form of ``read_ndjson`` before parsing; new files in ``path`` are new requests.
+
+    A file is in one micro-batch as a whole, where ``streaming.jobs.ingest_lines`` parses its lines and adds
+    up the size of compressed ones.
+    """
+    return (
         spark.readStream.format("text")
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .load(path)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("batch_id"),
-            F.col("_metadata.file_size").alias(REQUEST_BYTES),
-        )
+        .select("value", F.col("_metadata.file_path").alias("batch_id"), _plain_size())
     )
-    return parse_lines(lines)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.events import to_millis
 from tallyloom.schema import EVENTS
+from tallyloom.sources import topics
 from tallyloom.sources.files import parse_lines
 
 # Event names, agents by user, and the reporting day after the last event.
@@ -28,6 +29,13 @@ USER_AGENTS = [
     "Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/17.0 Safari/605.1.15",
     "Mozilla/5.0 (X11; Linux x86_64; rv:121.0) Gecko/20100101 Firefox/121.0",
     "Mozilla/5.0 (iPad; CPU OS 16_6 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/16.6 Mobile/15E148 Safari/604.1",
+    "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/120.0.0.0 Safari/537.36 Edg/120.0.2210.91",
+    "Mozilla/5.0 (X11; CrOS x86_64 14541.0.0) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/120.0.0.0 Safari/537.36 OPR/106.0.0.0",
+    "Mozilla/5.0 (Linux; Android 13; SM-X906B) AppleWebKit/537.36 (KHTML, like Gecko) SamsungBrowser/23.0 Chrome/115.0.0.0 Safari/537.36",
+    "Mozilla/5.0 (Linux; Android 12; Smart-TV) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/99.0.4844.88 Safari/537.36",
+    "Mozilla/5.0 (compatible; examplebot/2.1)",
+    "UnityPlayer/2022.3.10f1 (UnityWebRequest/1.0, libcurl/8.1.1-DEV)",
+    "okhttp/4.12.0",
 ]
 AGENTS = [
     ("Chrome", "Windows NT", "Desktop"),
@@ -36,6 +44,13 @@ AGENTS = [
     ("Safari", "Mac OS X", "Desktop"),
     ("Firefox", "Linux", "Desktop"),
     ("Safari", "iOS", "Tablet"),
+    ("Edge", "Windows NT", "Desktop"),
+    ("Opera", "Chrome OS", "Desktop"),
+    ("Samsung Browser", "Android", "Tablet"),
+    ("Chrome", "Android", "TV"),
+    ("Robot", "Unknown", "Robot"),
+    ("UnityPlayer", "Unknown", "Unknown"),
+    ("okhttp", "Unknown", "Unknown"),
 ]
 AS_OF = "2024-01-31"
 
@@ -92,9 +107,9 @@ def event_columns() -> dict[str, Column]:
             F.lit(0).cast("decimal(18,4)")
         ),
         "revenue_currency": currency,
-        "ua_family": pick(u % 6, list(ua)),
-        "os_family": pick(u % 6, list(os)),
-        "device_class": pick(u % 6, list(device)),
+        "ua_family": pick(u % len(AGENTS), list(ua)),
+        "os_family": pick(u % len(AGENTS), list(os)),
+        "device_class": pick(u % len(AGENTS), list(device)),
     }
 
 
@@ -115,31 +130,47 @@ def client_ip() -> Column:
 
 
 def forwarded_for() -> Column:
-    """The forwarding header: every eleventh event comes over IPv6."""
+    """The forwarding header: every eleventh event comes over IPv6, every thirteenth as IPv4 in IPv6 form."""
     u, e = F.col("user_id"), F.col("event_id")
     v6 = F.concat(F.lit("2001:0db8:"), F.lower(F.hex(u)), F.lit("::"), F.lower(F.hex(e % 65536)))
-    return F.when(e % 11 == 0, v6).otherwise(F.concat(client_ip(), F.lit(", 172.16.0.1")))
+    mapped = F.concat(F.lit("::ffff:"), client_ip())
+    return F.when(e % 11 == 0, v6).when(e % 13 == 0, mapped).otherwise(F.concat(client_ip(), F.lit(", 172.16.0.1")))
+
+
+def lookup_ip() -> Column:
+    """Addresses to look up: IPv4, every eleventh IPv6, every thirteenth IPv4 in IPv6 form."""
+    u, e = F.col("user_id") % 256, F.col("event_id")
+    v6 = F.concat(F.lit("2001:db8:"), F.lower(F.hex(u)), F.lit("::"), F.lower(F.hex(e % 65536)))
+    mapped = F.concat(F.lit("::FFFF:"), client_ip())
+    return F.when(e % 11 == 0, v6).when(e % 13 == 0, mapped).otherwise(client_ip())
 
 
 def records(spark: SparkSession, sf_dir: str, copies: bool = False) -> DataFrame:
     return as_records(table(spark, sf_dir, "events"), copies)
 
 
-def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The generic events table as a stream of files."""
-    schema = table(spark, sf_dir, "events").schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", 1)
-        .parquet(sf_dir)
-    )
+def arrivals(
+    spark: SparkSession, records: DataFrame, path: str, parts: int = 4, files: int = 2, newest_first: bool = False
+) -> DataFrame:
+    """Records as a stream over several micro-batches, each of several files, with ``event_time``.
+
+    The parts are spans of days, in time order or the newest first; inside a file the newest row comes
+    first.
+    """
+    day = F.dayofmonth(F.timestamp_micros("ts_client"))
+    part = F.least(F.floor((day - 1) / F.lit(32 / parts)), F.lit(parts - 1))
+    order = range(parts)
+    for n in reversed(order) if newest_first else order:
+        rows = records.filter(part == n).repartition(files, "event_id").sortWithinPartitions(F.desc("ts_client"))
+        rows.write.mode("append").parquet(path)
+    return topics.read_record_files(spark, path, max_files_per_trigger=files)
 
 
 def as_records(source: DataFrame, copies: bool = False) -> DataFrame:
     """Normalized records before enrichment, times in microseconds.
 
-    With ``copies`` the events of every seventh id arrive a second time a minute later.
+    With ``copies`` the events of every seventh id come a second time a minute later, from a device whose
+    name sorts first; copies of every fourteenth id have no server time.
     """
     if copies:
         again = F.when(F.col("event_id") % 7 == 0, F.array(F.lit(0), F.lit(60))).otherwise(
@@ -150,20 +181,22 @@ def as_records(source: DataFrame, copies: bool = False) -> DataFrame:
         )
     c = event_columns()
     micros = F.unix_micros(c["ts_server"])
+    late = F.lit(False) if not copies else F.col("shift") > 0
+    unknown = F.lit(False) if not copies else F.col("event_id") % 14 == 0
     return source.select(
         c["event_id"].alias("event_id"),
         c["event_name"].alias("event_name"),
         c["project_id"].alias("project_id"),
         c["user_id"].alias("user_id"),
-        c["device_id"].alias("device_id"),
+        F.when(late, F.concat(F.lit("a"), c["device_id"])).otherwise(c["device_id"]).alias("device_id"),
         F.lit(None).cast("string").alias("session_id"),
         micros.alias("ts_client"),
-        micros.alias("ts_server"),
+        F.when(~unknown, micros).alias("ts_server"),
         c["platform"].alias("platform"),
         c["app_version"].alias("app_version"),
         c["country"].alias("country"),
-        client_ip().alias("client_ip"),
-        pick(F.col("user_id") % 6, USER_AGENTS).alias("user_agent"),
+        lookup_ip().alias("client_ip"),
+        pick(F.col("user_id") % len(AGENTS), USER_AGENTS).alias("user_agent"),
         F.lit(None).cast("decimal(18,4)").alias("revenue_amount"),
         F.lit(None).cast("string").alias("revenue_currency"),
         c["props_json"].alias("props_json"),
@@ -175,7 +208,7 @@ def wire_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Ids divisible by 53 lack the device, by 89 carry a password, by 97 have a name that is too
     long, by 101 an id that is too short, by 103 are cut off, by 107 carry a large text, by 109
-    have an ISO time. Fifty ids form a request of the key of their project.
+    have an ISO time; by 1009 the event is just below the size limit, by 1013 just above. Fifty ids form a request of the key of their project.
     """
     e, u = F.col("event_id"), F.col("user_id")
     c = event_columns()
@@ -202,6 +235,8 @@ def wire_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit('"arr":['), F.concat_ws(",", F.sequence(F.lit(0), (e % 80).cast("int")).cast("array<string>")), F.lit("]")),
         F.when(hits(89), F.lit('"Password":"x"')),
         F.when(hits(107), text("big", F.repeat(F.lit("x"), 70_000))),
+        F.when(hits(1009), text("quoted", F.repeat(F.lit('\\"'), 32_000))),
+        F.when(hits(1013), text("quoted", F.repeat(F.lit('\\"'), 33_000))),
     )
     members = F.concat_ws(
         ",",
@@ -221,7 +256,7 @@ def wire_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("key"), (u % 4).cast("string")).alias("api_key"),
         forwarded_for().alias("forwarded_for"),
         F.lit("192.168.1.9").alias("remote_addr"),
-        pick(u % 6, USER_AGENTS).alias("header_user_agent"),
+        pick(u % len(AGENTS), USER_AGENTS).alias("header_user_agent"),
     )
 
 
@@ -249,17 +284,26 @@ def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def geo_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Address ranges: nation n owns 10.(10n).0.0 to 10.(10n+8).255.255."""
+    """Address ranges: nation n owns 10.(10n).0.0 to 10.(10n+8).255.255 and the same numbers of
+    2001:db8::/32; a part of its first network belongs to another country."""
     n = F.col("n_nationkey")
 
     def address(second: Column, tail: str) -> Column:
         return F.concat(F.lit("10."), second.cast("string"), F.lit(tail))
 
-    return table(spark, sf_dir, "nation").select(
-        address(n * 10, ".0.0").alias("start_ip"),
-        address(n * 10 + 8, ".255.255").alias("end_ip"),
-        F.concat(F.lit("N"), F.chr(F.lit(65) + n)).alias("country"),
+    def wide(third: Column, tail: str) -> Column:
+        return F.concat(F.lit("2001:db8:"), F.hex(third), F.lit(tail))
+
+    def row(start: Column, end: Column, name: str) -> Column:
+        country = F.concat(F.lit(name), F.chr(F.lit(65) + n))
+        return F.struct(start.alias("start_ip"), end.alias("end_ip"), country.alias("country"))
+
+    rows = F.array(
+        row(address(n * 10, ".0.0"), address(n * 10 + 8, ".255.255"), "N"),
+        row(address(n * 10, ".128.0"), address(n * 10, ".255.255"), "Z"),
+        row(wide(n * 10, "::"), wide(n * 10 + 8, ":ffff:ffff:ffff:ffff:ffff"), "N"),
     )
+    return table(spark, sf_dir, "nation").select(F.inline(rows))
 
 
 def organizations(
@@ -318,11 +362,10 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def roles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A role per order of a customer with an urgent or high priority."""
+    """A role per order of a customer, by its priority."""
     o = F.col("o_orderkey")
     return (
         table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
         .select(
             F.col("o_custkey").cast("string").alias("user_id"),
             F.concat(F.lit("org"), (o % 30).cast("string")).alias("org_id"),
@@ -424,8 +467,10 @@ CONFIG_CASES = [
 
 
 def config_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A configuration per part; which case it is follows from its key."""
+    """A configuration per part; its case, names and weights follow from its key."""
     case = F.col("p_partkey") % len(CONFIG_CASES)
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("config_id"), pick(case, [c for c, _ in CONFIG_CASES]).alias("config_json")
-    )
+    key = F.col("p_partkey").cast("string")
+    text = pick(case, [c for c, _ in CONFIG_CASES])
+    named = F.replace(F.replace(text, F.lit('"A'), F.concat(F.lit('"A'), key)), F.lit(" A "), F.concat(F.lit(" A"), key, F.lit(" ")))
+    weighted = F.replace(named, F.lit('"weight":50'), F.concat(F.lit('"weight":'), (F.col("p_partkey") % 97 + 1).cast("string")))
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("config_id"), weighted.alias("config_json"))

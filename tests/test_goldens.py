@@ -110,7 +110,8 @@ def test_late_conversion_moves_rollups(spark, tmp_path):
     )
     path = str(tmp_path / "rollups")
     rollups.rebuild(events, path)
-    rollups.refresh(late, events, path)
+    rollups.refresh(late, path, 1)
+    rollups.refresh(late, path, 1)  # a repeated load changes nothing
     everything = events.unionByName(late)
     exposed, first = experiments.exposures(everything), conv.first_conversion(everything)
     for rollup in rollups.ROLLUPS:

@@ -6,6 +6,7 @@ import pytest
 from fixtures import make_events, tuples
 from pyspark.sql import functions as F
 
+from tallyloom.functions import network
 from tallyloom.operators import enrich, ingest, usage
 from tallyloom.schema import POLICY
 from tallyloom.sources import dimensions, files, warehouse
@@ -116,7 +117,7 @@ def test_files(spark, tmp_path):
     (tmp_path / "arr" / "b.json").write_text("nonsense")
     (tmp_path / "arr" / "c.json").write_text("[" + ",".join(line(f"01JMANY{i:05d}") for i in range(40)) + "]")
     result = ingest.classify(
-        files.read_json_arrays(spark, str(tmp_path / "arr"), max_bytes=2000), defaults=ingest.IngestDefaults(max_request_bytes=2000)
+        files.read_json_arrays(spark, str(tmp_path / "arr"), max_request_bytes=2000), defaults=ingest.IngestDefaults(max_request_bytes=2000)
     )
     counts = tuples(result.groupBy("reason").count().na.fill("none"), "reason", "count")
     assert counts == [("invalid_schema", 1), ("none", 2), ("request_too_large", 1)]
@@ -133,9 +134,55 @@ def test_country_lookup(spark):
     )
     result = enrich.add_country(events, ranges)
     assert tuples(result, "event_id", "country") == [("1", "AA"), ("2", "DE"), ("3", "CC"), ("4", ""), ("5", ""), ("6", "")]
-    assert dimensions.overlapping_ranges(ranges).count() == 0
-    clash = ranges.union(spark.createDataFrame([("10.3.0.200", "10.3.1.5", "XX")], ranges.schema))
-    assert dimensions.overlapping_ranges(clash).count() == 2
+    nested = spark.createDataFrame(
+        [("10.3.0.200", "10.3.1.5", "XX"), ("2001:db8::", "2001:db8:ffff:ffff:ffff:ffff:ffff:ffff", "V6"), ("2001:db8:1::7", "2001:db8:1::1f", "IN"), ("bad", "10.0.0.1", "NO"), ("10.9.0.0", "10.8.0.0", "NO")],
+        ranges.schema,
+    )
+    rows = [("7", "", "10.3.0.201"), ("8", "", "2001:db8:1::1f"), ("9", "", "2001:0DB8:1::20"), ("10", "", "::ffff:10.1.2.3"), ("11", "", "fe80::1%eth0")]
+    result = enrich.add_country(spark.createDataFrame(rows, events.schema), ranges.union(nested))
+    assert tuples(result, "event_id", "country") == [("10", "AA"), ("11", ""), ("7", "XX"), ("8", "IN"), ("9", "V6")]
+
+
+def test_blocks_hold_exactly_the_range(spark):
+    import random
+
+    rng = random.Random(3)
+    ends = [sorted(rng.sample(range(1 << 16), 2)) for _ in range(60)] + [[0, 65535], [5, 5], [0, 15], [16, 255], [4095, 4096]]
+    text = [tuple(f"0.0.{v >> 8}.{v & 255}" for v in pair) for pair in ends]
+    ranges = spark.createDataFrame([(a, b, str(i)) for i, (a, b) in enumerate(text)], "start_ip string, end_ip string, country string")
+    held = {}
+    for r in dimensions.geo_blocks(ranges).collect():
+        key = r["prefix"].split(":")[1].ljust(4, "0")
+        low, high = int(key.ljust(8, "0"), 16), int(r["prefix"].split(":")[1].ljust(8, "f"), 16)
+        held.setdefault(int(r["geo"]), []).append((low, high))
+    for i, (low, high) in enumerate(ends):
+        blocks = sorted(held[i])
+        assert blocks[0][0] == low and blocks[-1][1] == high and len(blocks) <= 30 * 8
+        assert all(b[0] == a[1] + 1 for a, b in zip(blocks, blocks[1:], strict=False))
+
+
+def test_mapped_addresses(spark):
+    rows = ["::ffff:1.2.3.4", "::FFFF:0102:0304", "::1.2.3.4", "1.2.3.4", "2001:db8::1", "x"]
+    df = spark.createDataFrame([(r,) for r in rows], "ip string")
+    got = {r["ip"]: (r["c"], r["k"]) for r in df.select("ip", network.coarse_ip(F.col("ip")).alias("c"), network.address_key(F.col("ip")).alias("k")).collect()}
+    assert got["::ffff:1.2.3.4"] == ("::ffff:1.2.3.0", "01020304")
+    assert got["::FFFF:0102:0304"] == ("::FFFF:0102:0304", "01020304")
+    assert got["::1.2.3.4"] == ("0:0:0:0:0:0:0:0", "0" * 24 + "01020304")
+    assert got["1.2.3.4"] == ("1.2.3.0", "01020304")
+    assert got["2001:db8::1"] == ("2001:db8:0:0:0:0:0:0", "20010db8" + "0" * 23 + "1")
+    assert got["x"] == (None, None)
+
+
+def test_event_size_counts_props_as_an_object(spark):
+    """The limit is on the event with its props nested: quotes in the props are not escaped once more."""
+    def sized(n):
+        return '{"event_id":"event-size-%d","event_name":"n","project_id":"p","device_id":"d","ts_client":1704067200000,"props":{"q":"%s"}}' % (n, '\\"' * n)
+
+    lines = spark.createDataFrame([(sized(100),), (sized(500),)], "value string")
+    rules = ingest.IngestDefaults(max_event_bytes=800)
+    got = reasons(ingest.classify(files.parse_lines(lines), defaults=rules))
+    assert got == {"event-size-100": None, "event-size-500": "payload_too_large"}
+    assert ingest.batch_report(ingest.classify(files.parse_lines(lines), defaults=rules)).count() == 2
 
 
 def test_warehouse_prunes(spark, tmp_path):
