@@ -37,7 +37,8 @@ BITS = 4
 MARGIN = 0.25
 #: Members of a bucket that are paired in one piece of work.
 BLOCK = 256
-PLANES = HASHES // 64 * BITS
+#: Ids of the texts to compare are broadcast up to this many (8 MB), and joined by a shuffle above.
+FEW_IDS = 1_000_000
 
 _random = np.random.default_rng(20240229)
 FACTORS = _random.integers(0, 1 << 31, HASHES, np.uint32) * np.uint32(2) + np.uint32(1)
@@ -325,7 +326,9 @@ def near_duplicates(
     # Texts of all that is to be compared, once.
     ids = families.select("id").unionByName(across.select(F.explode(F.array("a", "b")).alias("id"))).distinct()
     texts = df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    texts = texts.filter(F.col("text").isNotNull()).join(ids, "id", "left_semi")
+    ids = saved(ids, "compared_ids")
+    wanted = F.broadcast(ids) if ids.count() <= FEW_IDS else ids
+    texts = texts.filter(F.col("text").isNotNull()).join(wanted, "id", "left_semi")
     texts = saved(texts.distinct(), "texts")
     alone = across.select(
         F.xxhash64("a", "b").alias("family"), F.explode(F.array("a", "b")).alias("id")
