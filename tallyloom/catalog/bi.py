@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from tallyloom.catalog.registry import query
 from tallyloom.catalog.sql import AS_OF, CONV, EV, EXPOSED, VIEWS, plain_column, ratio, with_
-from tallyloom.operators import rollups
+from tallyloom.catalog.stored import stored
 from tallyloom.plans import bi
 from tallyloom.plans.views import FAST_VIEWS, view
-from tallyloom.session import work_dir
 from tallyloom.sources import testdata
 
 
@@ -49,19 +48,6 @@ def chart_sql(chart: bi.Chart) -> str:
     return with_(*parts, body=f"SELECT * REPLACE (CAST({chart.day} AS VARCHAR) AS {chart.day}) FROM ({grouped})")
 
 
-_STORED: dict[tuple[str, str], str] = {}
-
-
-def stored(spark, sf) -> dict:
-    """The stored tables over the events of a folder, built once per application."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _STORED:
-        path = work_dir(spark, "stored")
-        rollups.rebuild(testdata.events(spark, sf), path)
-        _STORED[key] = path
-    return rollups.stored_views(spark, _STORED[key])
-
-
 def _register(name: str, chart: bi.Chart) -> None:
     @query(f"bi_{name}", chart_sql(chart))
     def run(spark, sf):

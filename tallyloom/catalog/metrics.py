@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from tallyloom.catalog.registry import query
 from tallyloom.catalog.sql import AS_OF, EV, funnel_view, ratio, view_sql, with_
+from tallyloom.catalog.stored import stored_path
 from tallyloom.operators import funnel, metrics, retention, rollups, sessions
+from tallyloom.operators.rollups import ACTOR_SKETCHES
 from tallyloom.sources import testdata
 
 
@@ -96,7 +98,8 @@ def dau_sketch(spark, sf):
     """Stored sketches merged per day, next to the exact count."""
     events = testdata.events(spark, sf)
     keys = ["project_id", "event_date"]
-    merged = metrics.merge_state(metrics.dau_state(events), *keys)
+    state = spark.read.parquet(f"{stored_path(spark, sf)}/{ACTOR_SKETCHES}")
+    merged = metrics.merge_state(state, *keys)
     both = metrics.dau(events).join(merged, keys)
     close = F.abs(F.col("actors") - F.col("dau")) <= F.col("dau") * 0.05
     return both.select(*keys, F.col("dau").alias("exact"), "events", close.alias("within_5_percent"))
@@ -106,18 +109,21 @@ def dau_sketch(spark, sf):
     "monthly_actors_sketch",
     with_(
         EV,
-        body="SELECT project_id, count(DISTINCT uid) AS exact, count(*) AS events, true AS within_5_percent FROM ev GROUP BY ALL",
+        body="SELECT project_id, strftime(event_date, '%Y-%m') AS month, count(DISTINCT uid) AS exact, count(*) AS events, "
+        "true AS within_5_percent FROM ev GROUP BY ALL",
     ),
 )
 def monthly_actors_sketch(spark, sf):
-    """Day sketches merged to the whole period: the coarser grain needs no second scan."""
-    events = testdata.events(spark, sf)
-    merged = metrics.merge_state(metrics.dau_state(events), "project_id")
-    exact = events.groupBy("project_id").agg(
+    """Stored day sketches merged to months: the coarser grain needs no second scan."""
+    month = F.date_format("event_date", "yyyy-MM")
+    events = testdata.events(spark, sf).withColumn("month", month)
+    state = spark.read.parquet(f"{stored_path(spark, sf)}/{ACTOR_SKETCHES}").withColumn("month", month)
+    merged = metrics.merge_state(state, "project_id", "month")
+    exact = events.groupBy("project_id", "month").agg(
         F.count_distinct(F.when(F.col("user_id") != "", F.col("user_id")).otherwise(F.col("device_id"))).alias("exact")
     )
     close = F.abs(F.col("actors") - F.col("exact")) <= F.col("exact") * 0.05
-    return exact.join(merged, "project_id").select("project_id", "exact", "events", close.alias("within_5_percent"))
+    return exact.join(merged, ["project_id", "month"]).select("project_id", "month", "exact", "events", close.alias("within_5_percent"))
 
 
 @query(

@@ -150,7 +150,7 @@ def records(spark: SparkSession, sf_dir: str, copies: bool = False) -> DataFrame
 
 
 def arrivals(
-    spark: SparkSession, records: DataFrame, path: str, parts: int = 4, files: int = 2, newest_first: bool = False
+    spark: SparkSession, records: DataFrame, path: str, parts: int = 3, files: int = 2, newest_first: bool = False
 ) -> DataFrame:
     """Records as a stream over several micro-batches, each of several files, with ``event_time``.
 
