@@ -50,17 +50,26 @@ def _ngrams(hashes: np.ndarray, doc: np.ndarray, n: int, bits: int) -> tuple[np.
     return found[inside], last[inside]
 
 
-def _counted(hashes: np.ndarray, doc: np.ndarray, order: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct n-grams of all orders, sorted, and how often each comes."""
-    each = [np.unique(_ngrams(hashes, doc, n, bits)[0], return_counts=True) for n in range(1, order + 1)]
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """Where a row of sorted columns differs from the one before."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for column in columns:
+        new[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(new)
+
+
+def _merged(each: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct n-grams of all orders, sorted, how often each comes, and the place of each that was given."""
     found, counts = (np.concatenate(x) for x in zip(*each, strict=True))
-    del each
     by_hash = np.argsort(found, kind="stable")
-    found, counts = found[by_hash], counts[by_hash]
-    if len(found) and (found[1:] == found[:-1]).any():  # n-grams of two orders with one hash
-        starts = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
-        found, counts = found[starts], np.add.reduceat(counts, starts)
-    return found, counts
+    found = found[by_hash]
+    starts = _runs(found)
+    place = np.empty(len(found), np.int32)
+    place[by_hash] = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(np.append(starts, len(found))))
+    if not len(starts):
+        return found, counts, place
+    return found[starts], np.add.reduceat(counts[by_hash], starts), place
 
 
 def stupid_backoff(
@@ -82,25 +91,34 @@ def stupid_backoff(
 
     def keys_of(_, texts):
         hashes, doc, _ = _hashed(texts)
-        found, counts = _counted(hashes, doc, order, bits)
+        each = [np.unique(_ngrams(hashes, doc, n, bits)[0], return_counts=True) for n in range(1, order + 1)]
+        found, counts, _ = _merged(each)
         return found, counts.astype(np.uint64)
 
     def finish(keys, texts, answers):
         hashes, doc, sizes = _hashed(texts)
-        found, counts = _counted(hashes, doc, order, bits)
-        totals = blocks.merged_values(found, counts, parts, answers).astype(np.int64)
         n = len(doc)
+        # Per order: places of last words by n-gram and text, where each n-gram begins among them, and what a text has of it.
+        sorted_, each = [], []
+        for k in range(1, order + 1):
+            grams, last = _ngrams(hashes, doc, k, bits)
+            by_gram = np.argsort(grams, kind="stable")  # the texts of an n-gram stay in order
+            grams, last = grams[by_gram], last[by_gram]
+            starts, own = _runs(grams), _runs(grams, doc[last])
+            own = np.repeat(np.diff(np.append(own, len(last))), np.diff(np.append(own, len(last))))
+            many = np.diff(np.append(starts, len(last)))
+            sorted_.append((last, many, own.astype(np.int32)))
+            each.append((grams[starts], many))
+        found, counts, place = _merged(each)
+        totals = blocks.merged_values(found, counts, parts, answers).astype(np.int64)[place]
         score = np.full(n, 1.0 / (corpus + 1))
         used = np.zeros(n, np.int8)
         under = corpus - sizes[doc]  # words of the other rows, then counts of the next lower order
-        for k in range(1, order + 1):
-            grams, last = _ngrams(hashes, doc, k, bits)
-            at = np.searchsorted(found, grams)
-            # A document's own count of each of its n-grams.
-            pairs = doc[last].astype(np.int64) * max(1, len(found)) + at
-            _, pair, own = np.unique(pairs, return_inverse=True, return_counts=True)
+        start = 0
+        for k, (last, many, own) in enumerate(sorted_, 1):
             others = np.zeros(n, np.int64)
-            others[last] = totals[at] - own[pair]
+            others[last] = np.repeat(totals[start : start + len(many)], many) - own
+            start += len(many)
             hit = np.flatnonzero(others > 0)
             score[hit] = others[hit] / (under[hit] if k == 1 else under[hit - 1])
             used[hit] = k
