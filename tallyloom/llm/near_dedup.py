@@ -35,8 +35,10 @@ BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 BITS = 4
 MARGIN = 0.25
-#: Members of a bucket that are paired in one piece of work.
+#: Members of a family or bucket that are compared in one piece of work.
 BLOCK = 256
+#: Members of small families that share a piece.
+POOLED = 500
 #: Ids of the texts to compare are broadcast up to this many (8 MB), and joined by a shuffle above.
 FEW_IDS = 1_000_000
 
@@ -212,7 +214,7 @@ def linked(members: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFr
 
 
 def dealt(members: DataFrame) -> DataFrame:
-    """Number the blocks of each family: (family, id, grouped) with block and blocks.
+    """Deal the members of each family (family, id, grouped) to blocks: adds ``block`` and ``pure``.
 
     Members that are one component already (``grouped``) fill blocks of their own if there are enough of them;
     the others share blocks. ``pure`` is that component, or null.
@@ -230,7 +232,7 @@ def dealt(members: DataFrame) -> DataFrame:
     )
 
 
-def compared(members: DataFrame, first: bool) -> DataFrame:
+def compared(members: DataFrame, pools: int, first: bool) -> DataFrame:
     """Rows for ``linked``: comparisons of two blocks of a family.
 
     In the first round each block meets itself and the first block of the family, which joins most of a large
@@ -239,9 +241,9 @@ def compared(members: DataFrame, first: bool) -> DataFrame:
     blocks = dealt(members)
     each = blocks.groupBy("family", "block").agg(F.first("pure").alias("pure"), F.count("*").alias("m"))
     many = each.groupBy("family").agg(F.count("*").alias("blocks"))
-    # Small families: many of them make one piece.
+    # Small families: many of them make one of ``pools`` pieces.
     small = blocks.join(many.filter("blocks = 1"), "family")
-    pool = F.pmod(F.xxhash64("family"), F.lit(1 << 20))
+    pool = F.pmod(F.xxhash64("family"), F.lit(pools))
     a = each.join(many.filter("blocks > 1"), "family").select("family", F.col("block").alias("i"), F.col("pure").alias("x"), "blocks")
     b = each.select(F.col("family").alias("of"), F.col("block").alias("j"), F.col("pure").alias("y"))
     if first:
@@ -335,9 +337,10 @@ def near_duplicates(
     ).withColumn("grouped", F.col("id"))
     zero = F.lit(0).cast("long")
     crossing = alone.withColumns(
-        {"piece": F.pmod(F.col("family"), F.lit(1 << 20)) - (1 << 20), "i": zero, "j": zero, "side": F.lit(0)}
+        {"piece": -1 - F.pmod(F.col("family"), F.lit(1 + 2 * across.count() // POOLED)), "i": zero, "j": zero, "side": F.lit(0)}
     ).select("piece", "family", "i", "j", "side", "id", "grouped")
-    inside = compared(families.withColumn("grouped", F.col("id")), first=True)
+    pools = 1 + families.count() // POOLED
+    inside = compared(families.withColumn("grouped", F.col("id")), pools, first=True)
     links = saved(linked(inside.unionByName(crossing), texts, n, percent), "links")
     labels = saved(components(links), "components")
 
@@ -349,7 +352,7 @@ def near_duplicates(
     torn = parts.join(torn.filter((F.col("m") > BLOCK) & (F.col("x") < F.col("y"))).select("family"), "family", "left_semi")
     torn = saved(torn, "torn_families")
     if torn.take(1):
-        more = saved(linked(compared(torn, first=False), texts, n, percent), "more_links")
+        more = saved(linked(compared(torn, pools, first=False), texts, n, percent), "more_links")
         labels = saved(components(links.unionByName(more)), "components")
 
 
