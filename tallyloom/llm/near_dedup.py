@@ -341,7 +341,11 @@ def near_duplicates(
     ).select("piece", "family", "i", "j", "side", "id", "grouped")
     pools = 1 + families.count() // POOLED
     inside = compared(families.withColumn("grouped", F.col("id")), pools, first=True)
-    links = saved(linked(inside.unionByName(crossing), texts, n, percent), "links")
+    links = linked(inside.unionByName(crossing), texts, n, percent)
+    # Rows with the same key are one node: their classes are linked.
+    several = filled.groupBy("id").agg(F.min("set_key").alias("x"), F.max("set_key").alias("y")).filter("x < y")
+    same = filled.join(several, "id", "left_semi").join(classes, "set_key").filter("id <> rep")
+    links = saved(links.unionByName(same.select(F.col("rep").alias("a"), F.col("id").alias("b"))).distinct(), "links")
     labels = saved(components(links), "components")
 
     # Large families that are not one component yet.
@@ -355,12 +359,10 @@ def near_duplicates(
         more = saved(linked(compared(torn, pools, first=False), texts, n, percent), "more_links")
         labels = saved(components(links.unionByName(more)), "components")
 
-
     # A class takes the component of its smallest id. Large classes are split by AQE.
     classes = classes.join(labels, F.col("rep") == F.col("id"), "left").select(
         "set_key", F.coalesce("component", "rep").alias("component")
     )
-    # Rows with the same key but other sets are one node: all take its smallest component.
     out = rows.select("id", "n_shingles", "set_key").join(classes, "set_key", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select(

@@ -94,6 +94,13 @@ def test_near_duplicates_at_the_threshold(spark, monkeypatch, block):
     assert got == brute.near_duplicates(rows)
 
 
+def test_rows_with_one_key_are_one_node(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    df = spark.createDataFrame([(5, a), (3, a), (5, b), (4, b), (6, b)], "doc_id long, text string")
+    got = {(r["doc_id"], r["component_id"]) for r in near_dedup.near_duplicates(df).collect()}
+    assert got == {(3, 3), (4, 3), (5, 3), (6, 3)}
+
+
 def test_estimate_is_unbiased(spark):
     rng = np.random.default_rng(3)
     errors = []
