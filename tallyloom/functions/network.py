@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,41 +18,56 @@ def client_ip(forwarded_for: Column, remote: Column) -> Column:
     return F.when(forwarded_for != "", first).otherwise(remote)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _dotted_tail_as_groups(ip: Column) -> Column:
     """An IPv6 text whose last 32 bits are written as IPv4, with two groups in their place."""
+
+    def groups(value: Column) -> Column:
+        low = F.hex(value.bitwiseAND(F.lit(65535)))
+        return F.concat(F.regexp_replace(ip, r"[^:]*$", ""), F.hex(F.shiftright(value, 16)), F.lit(":"), low)
+
     tail = F.regexp_extract(ip, r"([^:]*)$", 1)
-    value = ipv4_to_long(tail)
-    groups = F.concat(F.hex(F.shiftright(value, 16)), F.lit(":"), F.hex(value.bitwiseAND(F.lit(65535))))
-    head = F.regexp_replace(ip, r"[^:]*$", "")
-    return F.when(ip.contains(":") & value.isNotNull(), F.concat(head, groups)).otherwise(ip)
-
-
-def _ipv6_groups(ip: Column) -> Column:
-    """The eight groups of an IPv6 text in lower case, ``::`` expanded; NULL for bad text."""
-    bare = _dotted_tail_as_groups(F.regexp_replace(ip, r"%.*$", ""))
-    halves = F.split(bare, "::")
-
-    def groups(half: Column) -> Column:
-        return F.filter(F.split(half, ":"), lambda g: g != "")
-
-    left, right = groups(halves[0]), groups(F.get(halves, F.lit(1)))
-    gap = F.greatest(F.lit(8) - F.size(left) - F.size(right), F.lit(0))
-    expanded = F.concat(left, F.array_repeat(F.lit("0"), gap), right)
-    found = F.when(F.size(halves) == 2, expanded).otherwise(F.split(bare, ":"))
-    valid = (
-        ip.contains(":")
-        & (F.size(found) == 8)
-        & F.forall(found, lambda g: g.rlike(r"^[0-9A-Fa-f]{1,4}$"))
-        & (F.regexp_count(bare, F.lit("::")) <= 1)
-        & ~bare.contains(":::")
-    )
-    return F.when(valid, F.transform(found, lambda g: F.lower(F.regexp_replace(g, r"^0+(?=.)", ""))))
+    return F.when(ip.contains("."), F.coalesce(_let(ipv4_to_long(tail), groups), ip)).otherwise(ip)
+
+
+def _expanded(bare: Column) -> Column:
+    """The groups of an IPv6 text, with zeros in place of ``::``; of another number than eight for bad text."""
+
+    def filled(halves: Column) -> Column:
+        def side(i: int) -> Column:
+            return F.filter(F.split(F.get(halves, F.lit(i)), ":"), lambda g: g != "")
+
+        def joined(sides: Column) -> Column:
+            gap = F.greatest(F.lit(8) - F.size(sides["l"]) - F.size(sides["r"]), F.lit(0))
+            return F.concat(sides["l"], F.array_repeat(F.lit("0"), gap), sides["r"])
+
+        both = F.struct(side(0).alias("l"), side(1).alias("r"))
+        return F.when(F.size(halves) == 2, _let(both, joined)).otherwise(F.split(bare, ":"))
+
+    single = (F.regexp_count(bare, F.lit("::")) <= 1) & ~bare.contains(":::")
+    return F.when(single, _let(F.split(bare, "::"), filled))
+
+
+def _with_ipv6_groups(ip: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of the eight groups of an IPv6 text, in lower case without leading zeros; NULL for other text."""
+
+    def checked(found: Column) -> Column:
+        good = (F.size(found) == 8) & F.forall(found, lambda g: g.rlike(r"^[0-9A-Fa-f]{1,4}$"))
+        plain = F.transform(found, lambda g: F.lower(F.regexp_replace(g, r"^0+(?=.)", "")))
+        return F.when(good, _let(plain, use))
+
+    bare = _let(F.regexp_replace(ip, r"%.*$", ""), _dotted_tail_as_groups)
+    return F.when(ip.contains(":"), _let(_let(bare, _expanded), checked))
 
 
 def _is_mapped(groups: Column) -> Column:
     """Is it an IPv4 address in IPv6 form (80 zero bits, 16 one bits)?"""
     zeros = F.forall(F.slice(groups, 1, 5), lambda g: g == "0")
-    return F.coalesce(zeros & (F.get(groups, F.lit(5)) == "ffff"), F.lit(False))
+    return zeros & (F.get(groups, F.lit(5)) == "ffff")
 
 
 def coarse_ip(ip: Column) -> Column:
@@ -59,14 +76,16 @@ def coarse_ip(ip: Column) -> Column:
     An IPv4 address in IPv6 form counts as IPv4: its dotted form loses the last number, and
     its hexadecimal form stays as it is.
     """
-    groups = _ipv6_groups(ip)
-    ipv6 = F.concat(F.concat_ws(":", F.slice(groups, 1, 3)), F.lit(":0:0:0:0:0"))
-    mapped = F.when(ip.contains("."), F.regexp_replace(ip, r"\d+$", "0")).otherwise(ip)
+
+    def coarse(groups: Column) -> Column:
+        mapped = F.when(ip.contains("."), F.regexp_replace(ip, r"\d+$", "0")).otherwise(ip)
+        wide = F.concat(F.concat_ws(":", F.slice(groups, 1, 3)), F.lit(":0:0:0:0:0"))
+        return F.when(_is_mapped(groups), mapped).otherwise(wide)
+
     return (
         F.when(ip.rlike(_IPV4), F.regexp_replace(ip, r"\d+$", "0"))
         .when(ip.rlike(_SHORT_IPV4), ip)
-        .when(_is_mapped(groups), mapped)
-        .when(groups.isNotNull(), ipv6)
+        .otherwise(_with_ipv6_groups(ip, coarse))
     )
 
 
@@ -81,23 +100,21 @@ def apply_ip_mode(ip: Column, mode: Column) -> Column:
 
 def ipv4_to_long(ip: Column) -> Column:
     """An IPv4 text as an unsigned 32-bit number in a long; NULL for anything else."""
-    o = F.split(ip, r"\.")
 
-    def octet(i: int) -> Column:
-        return o[i].cast("long")
+    def value(octets: Column) -> Column:
+        a, b, c, d = (F.get(octets, F.lit(i)).cast("long") for i in range(4))
+        return a * 16777216 + b * 65536 + c * 256 + d
 
-    value = octet(0) * 16777216 + octet(1) * 65536 + octet(2) * 256 + octet(3)
-    return F.when(ip.rlike(_IPV4), value)
+    return F.when(ip.rlike(_IPV4), _let(F.split(ip, r"\."), value))
 
 
 def address_key(ip: Column) -> Column:
     """An address as hexadecimal digits that sort like addresses: 8 for IPv4, also in IPv6 form, and 32
     for IPv6. NULL for anything else."""
-    groups = _ipv6_groups(ip)
-    digits = F.array_join(F.transform(groups, lambda g: F.lpad(g, 4, "0")), "")
-    v4 = ipv4_to_long(ip)
-    return (
-        F.when(v4.isNotNull(), F.lower(F.lpad(F.hex(v4), 8, "0")))
-        .when(_is_mapped(groups), F.right(digits, F.lit(8)))
-        .when(groups.isNotNull(), digits)
-    )
+
+    def digits(groups: Column) -> Column:
+        whole = F.array_join(F.transform(groups, lambda g: F.lpad(g, 4, "0")), "")
+        return F.when(_is_mapped(groups), F.right(whole, F.lit(8))).otherwise(whole)
+
+    narrow = _let(ipv4_to_long(ip), lambda v: F.lower(F.lpad(F.hex(v), 8, "0")))
+    return F.when(ip.rlike(_IPV4), narrow).otherwise(_with_ipv6_groups(ip, digits))
