@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import mixing, packing, secrets
 
-SF_DIR = "/root/testdata/sf0.001"
+SF_DIR = "/root/testdata/sf0.01"
+SMALL_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +19,8 @@ def chain(spark, tmp_path_factory):
     """The documents and what each stage makes of what its predecessor kept, through Parquet."""
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     odd = spark.createDataFrame(
-        [(90001, None, "en", "src1", 0), (90002, "", None, None, 0), (90003, "12 34 !!", "en", "src2", 8), (0, None, None, None, None)],
+        [(90001, None, "en", "src1", 0), (90002, "", None, None, 0), (90003, "12 34 !!", "en", "src2", 8), (0, None, None, None, None),
+         (90004, "the old password = hunter2hunter2 was found in the long log file of the day", "en", "src3", 74)],
         docs.schema,
     )
     tables = [docs.unionByName(odd)]
@@ -75,7 +77,7 @@ def test_mix(chain):
     for r in before:
         taken[r["source"]] += copies[r["doc_id"]] * len(brute.words(r["text"]))
         target[r["source"]] = plan[r["doc_id"]]["target"]
-    assert all(abs(taken[s] - target[s]) <= 0.02 * target[s] + 60 for s in target)
+    assert all(abs(taken[s] - target[s]) <= 0.01 * target[s] + 60 for s in target)
 
 
 def test_packing(chain):
@@ -97,26 +99,26 @@ def test_packing(chain):
 
 
 def test_run_is_the_chain(spark):
-    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    docs = spark.read.parquet(f"{SMALL_DIR}/documents.parquet")
     want = docs
     for _, stage in corpus_pipeline.STAGES:
-        want = stage(spark, want, SF_DIR)
+        want = stage(spark, want, SMALL_DIR)
     places = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    got = corpus_pipeline.run(spark, SF_DIR)
+    got = corpus_pipeline.run(spark, SMALL_DIR)
     count = lambda df: Counter(tuple(r) for r in df.select(*places).collect())
     assert count(got) == count(want)
 
 
 def test_empty(spark):
-    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
+    docs = spark.read.parquet(f"{SMALL_DIR}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
-        docs = stage(spark, docs, SF_DIR)
+        docs = stage(spark, docs, SMALL_DIR)
         assert docs.count() == 0
 
 
 def test_stage_ignores_other_columns(spark):
-    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(40).withColumns({"size": F.lit(1), "key": F.lit("x"), "score": F.lit(0.5)})
+    docs = spark.read.parquet(f"{SMALL_DIR}/documents.parquet").limit(40).withColumns({"size": F.lit(1), "key": F.lit("x"), "score": F.lit(0.5)})
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        out = stage(spark, docs, SF_DIR)
+        out = stage(spark, docs, SMALL_DIR)
         assert out.columns == docs.columns
         docs = out
