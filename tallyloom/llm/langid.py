@@ -29,6 +29,8 @@ FIT_ROWS = 4000
 SMOOTHING = 0.5
 #: Neighbouring n-grams tell much the same, so a text counts as evidence of at most so many.
 EVIDENCE = 100
+#: Bytes of text whose n-grams are held at a time.
+SLICE = 1 << 20
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 SPACE = 0x20
@@ -101,7 +103,7 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lan
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(languages), BUCKETS), np.int64)
         for batch in batches:
-            for part in slices([batch], "text"):
+            for part in slices([batch], "text", SLICE):
                 buckets, owner = ngram_buckets(part["text"].to_pylist())
                 of = np.array([languages.index(x) for x in part["lang"].to_pylist()])
                 sums += np.bincount(of[owner] * BUCKETS + buckets, minlength=sums.size).reshape(sums.shape)
@@ -149,7 +151,7 @@ def predict(df: DataFrame, model: Model, text: str = "text", keep: list[str] | N
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "__text", 1 << 20):
+        for batch in slices(batches, "__text", SLICE):
             best, value = score(shared.value, batch["__text"].to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch[c] for c in keep] + [pa.array(best, pa.string()), pa.array(value, pa.float64())],
