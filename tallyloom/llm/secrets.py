@@ -19,7 +19,9 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,11 +37,17 @@ HEX_RUN = re.compile(r"[0-9a-f]{24,}")  # the runs of HEX that are long enough
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "der", "hexder", "openssh", "jwt")
 
-#: A run of base64 that may hold a DER sequence ("M") or the magic word of OpenSSH ("b3BlbnNzaC1rZXkt").
-#: Lines of an armoured key may be broken.
-ENCODED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M[A-Za-z0-9+/]{31,}|b3BlbnNzaC1rZXkt[A-Za-z0-9+/]{16,})(?:\r?\n[A-Za-z0-9+/]+)*={0,2}")
+#: How a key may begin: base64 of a DER sequence ("M") or of the magic word of OpenSSH ("b3BlbnNzaC1rZXkt").
+FIRST = r"(?:M[A-Za-z0-9+/]{31,}|b3BlbnNzaC1rZXkt[A-Za-z0-9+/]{16,})"
+#: A line break, real or escaped as in JSON, with the blanks around it.
+BREAK = r"[\x20\t]*+(?:\r\n?|\n|(?:\\+r)?\\+n)(?:[\x20\t]|\\+t)*+"
+#: The letter of an escaped break or tab is no part of what follows it.
+ESCAPED = r"(?<=\\[nrt])"
+#: A run of base64 lines of which the first may begin a key; later ones may as well.
+ENCODED = re.compile(rf"(?:(?<![A-Za-z0-9+/_-])|{ESCAPED}){FIRST}(?:{BREAK}[A-Za-z0-9+/]+)*={{0,2}}")
+BEGIN, BREAKS = re.compile(FIRST), re.compile(BREAK)
 HEX_DER = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{62,}")
-SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
+SIGNED = re.compile(rf"(?:(?<![A-Za-z0-9_-])|{ESCAPED})(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 OPENSSH_MAGIC = b"openssh-key-v1\0"
 
 # Tags of DER values.
@@ -90,6 +98,14 @@ def is_der_key(data: bytes) -> bool:
     return tags == [SEQUENCE, BITS] and parts[1][1][:1] == b"\0" and len(parts[1][1]) > 16  # public key
 
 
+def der_size(head: bytes) -> int | None:
+    """The size of the DER sequence that begins with ``head`` (6 bytes); None if it is none."""
+    if len(head) < 6 or head[0] != SEQUENCE:
+        return None
+    n = head[1] & 0x7F if head[1] & 0x80 else 0
+    return None if n > 4 else 2 + n + (int.from_bytes(head[2 : 2 + n], "big") if n else head[1])
+
+
 def is_openssh_key(data: bytes) -> bool:
     """Fields: cipher, derivation, its options, a number of keys, public keys, private part."""
     if not data.startswith(OPENSSH_MAGIC):
@@ -112,6 +128,26 @@ def is_openssh_key(data: bytes) -> bool:
     return all(field() is not None for _ in range(keys + 1))
 
 
+def openssh_size(data: bytes) -> int | None:
+    """The size of the key that begins with ``data``, or, if that is more than ``data``, how many bytes must be
+    known to tell it; None if it is none."""
+    if not data.startswith(OPENSSH_MAGIC):
+        return None
+    at, nth, last, cipher = len(OPENSSH_MAGIC), 0, 4, b""
+    while at + 4 <= len(data):
+        value, at = int.from_bytes(data[at : at + 4], "big"), at + 4
+        if nth == 3:
+            if not 1 <= value <= 16:
+                return None
+            last = 4 + value
+        else:
+            cipher, at = data[at : at + value] if nth == 0 else cipher, at + value
+            if nth == last:  # these ciphers put 16 bytes behind the private part
+                return at + 16 * (b"gcm" in cipher or b"poly1305" in cipher)
+        nth += 1
+    return at + 4
+
+
 def decode64(text: str) -> bytes | None:
     """Base64 or base64url, padded or not; None if it is neither."""
     text = text.rstrip("=")
@@ -132,18 +168,44 @@ def json_object(text: str) -> dict | None:
     return value if isinstance(value, dict) else None
 
 
-def _key_span(match: re.Match, check) -> int | None:
-    """Where the key in a base64 run ends: the run, or the run less its last broken lines."""
-    end = match.end()
-    while True:
-        raw = match.string[match.start() : end]
-        data = decode64(re.sub(r"[\r\n]", "", raw))
-        if data and check(data):
-            return end
-        cut = raw.rfind("\n")
-        if cut <= 0:
-            return None
-        end = match.start() + cut - (raw[cut - 1] == "\r")
+def _openssh_chars(text: str, begin: int) -> int | None:
+    """How many characters of ``text`` from ``begin`` on are a key of OpenSSH."""
+    there = (len(text) - begin) * 3 // 4
+    known, need = 0, len(OPENSSH_MAGIC) + 4
+    while known < need <= there:
+        known = need
+        need = openssh_size(decode64(text[begin : begin + -(-known * 4 // 3)]) or b"") or 0
+    if need - 16 > there:
+        return None
+    chars = -(-min(need, there) * 4 // 3)
+    return chars if is_openssh_key(decode64(text[begin : begin + chars]) or b"") else None
+
+
+def _keys(run: re.Match) -> Iterator[tuple[int, str, int]]:
+    """The keys in a run of lines. A key begins with a line and is as long as its own lengths tell, so where it
+    ends is known before it is decoded; the next one is looked for behind it, or at the next line."""
+    text = run.string
+    breaks = [m.span() for m in BREAKS.finditer(text, *run.span())]
+    lines = list(zip([run.start(), *(b for _, b in breaks)], [*(a for a, _ in breaks), run.end()], strict=True))
+    whole = "".join(text[a:b] for a, b in lines).rstrip("=")
+    ends = [min(x, len(whole)) for x in accumulate(b - a for a, b in lines)]
+    i = 0
+    while i < len(lines):
+        begin, found = ends[i - 1] if i else 0, None
+        if not BEGIN.match(text, *lines[i]):
+            pass
+        elif whole[begin] == "M":
+            size = der_size(decode64(whole[begin : begin + 8]) or b"")
+            end = begin + -(-size * 4 // 3) if size else 0
+            j = bisect_left(ends, end, i)
+            if size and j < len(lines) and ends[j] == end and is_der_key(decode64(whole[begin:end]) or b""):
+                found = "der"
+        elif chars := _openssh_chars(whole, begin):
+            found, j = "openssh", bisect_left(ends, begin + chars, i)
+        if found:
+            yield lines[i][0], found, lines[j][1]
+            i = j
+        i += 1
 
 
 def structural(text: str) -> list[tuple[int, str, int]]:
@@ -151,9 +213,7 @@ def structural(text: str) -> list[tuple[int, str, int]]:
     out = []
     if "M" in text or "b3Bl" in text:
         for m in ENCODED.finditer(text):
-            kind, check = ("der", is_der_key) if m[0][0] == "M" else ("openssh", is_openssh_key)
-            if end := _key_span(m, check):
-                out.append((m.start(), kind, end))
+            out += _keys(m)
     if "30" in text:
         for m in HEX_DER.finditer(text):
             if len(m[0]) % 2 == 0 and is_der_key(bytes.fromhex(m[0])):

@@ -170,6 +170,46 @@ def test_structural_secrets():
     assert not kinds(f"{url64('{\"typ\":1}')}.{url64('{}')}.c2ln")
 
 
+P256 = der(0x30, der(2, b"\0") + der(0x30, der(6, b"\x2a\x86\x48\xce\x3d\2\1") + der(6, b"\x2a\x86\x48\xce\x3d\3\1\7")) + der(4, der(0x30, der(2, b"\1") + der(4, b"s" * 32) + der(0xA1, der(3, b"\0\4" + b"q" * 64)))))
+ED25519 = der(0x30, der(2, b"\0") + der(0x30, der(6, b"\x2b\x65\x70")) + der(4, der(4, b"e" * 32)))
+
+
+def folded(key, width, line_break):
+    return line_break.join(b64(key)[i : i + width] for i in range(0, len(b64(key)), width))
+
+
+@pytest.mark.parametrize("line_break", ["\n", "\r\n", "\\n", "\\r\\n", "\n    ", "  \n\t", "\\n  "])
+def test_keys_in_a_list(line_break):
+    assert (len(P256), len(ED25519)) == (138, 48) and "=" not in b64(P256) + b64(ED25519)
+    keys = [b64(P256), b64(ED25519), b64(ED25519), b64(P256)]
+    assert kinds(line_break.join(keys)) == [("der", key) for key in keys]
+    # A run that is no key, one that states a length it does not have, and one of each kind.
+    for no_key in ("M" * 40, "MIIC" + "x" * 60, "M" + "word" * 9, b64(P256)[:-8], "b3BlbnNzaC1rZXkt" + "A" * 40):
+        assert kinds(line_break.join([no_key, b64(ED25519), no_key, "word", b64(P256)])) == [("der", b64(ED25519)), ("der", b64(P256))]
+    ssh = OPENSSH + b"z" * (-len(OPENSSH) % 3)
+    ssh = OPENSSH[:-84] + field(b"priv" * 20 + b"z" * (len(ssh) - len(OPENSSH)))
+    sealed = ssh.replace(field(b"none") * 2, field(b"aes256-gcm@openssh.com") + field(b"bcrypt")) + b"t" * 16
+    for key in (ssh, sealed):
+        text = line_break.join([b64(ED25519), folded(key, 70, line_break), b64(P256), "word"])
+        assert kinds(text) == [("der", b64(ED25519)), ("openssh", folded(key, 70, line_break)), ("der", b64(P256))]
+
+
+def test_keys_in_quoted_and_indented_text():
+    for key, kind in ((RSA, "der"), (WRAPPED, "der"), (PUBLIC, "der"), (OPENSSH, "openssh")):
+        for line_break in ("\\n", "\\r\\n", "\\\\n", "\n    ", "\n\t", "\r"):
+            lines = folded(key, 64, line_break)
+            text = f'{{"private_key": "-----BEGIN PRIVATE KEY-----{line_break}{lines}{line_break}-----END PRIVATE KEY-----{line_break}"}}'
+            assert kinds(text) == [(kind, lines)]
+            assert lines not in secrets.redacted(text, secrets.structural(text))
+    token = f"{url64('{\"alg\":\"HS256\"}')}.{url64('{\"sub\":1}')}.c2ln"
+    assert kinds(f"a\\n{token}") == [("jwt", token)]
+
+
+def test_many_lines_of_base64_end():
+    lines = ["MIIP" + "A" * 60] * 20000
+    assert not kinds("\n".join(lines)) and kinds("\n".join([*lines, b64(P256)])) == [("der", b64(P256))]
+
+
 def test_secrets(spark, none):
     texts = [
         "password = hunter2x, TOKEN:'abcdef' Api_Key: abc", "secret: token: abcdefg", "AKIA" + "A" * 16 + "b", "x" + "0a" * 12,
