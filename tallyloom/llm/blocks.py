@@ -26,11 +26,11 @@ BLOCK_BYTES = 8 << 20
 PART_BYTES = 12 << 20
 
 
-def pack(df: DataFrame, key: str, text: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def pack(df: DataFrame, key: str, text: str, block_bytes: int = BLOCK_BYTES, *, level: int = 1) -> DataFrame:
     """Rows (block, n_bytes, n_words, payload): each is some documents as compressed Arrow data.
 
     The table is written to the shared folder, so a block is the same in every later pass. A
-    document longer than ``block_bytes`` is a block of its own.
+    document longer than ``block_bytes`` is a block of its own. ``level`` is that of zstd.
     """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -41,7 +41,8 @@ def pack(df: DataFrame, key: str, text: str, block_bytes: int = BLOCK_BYTES) ->
         def row() -> pa.RecordBatch:
             table = pa.Table.from_batches(held).combine_chunks()
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=level))
+            with pa.ipc.new_stream(sink, table.schema, options=options) as out:
                 out.write_table(table)
             words = sum(len(t.split()) for t in as_bytes(table["text"].combine_chunks()) if t)
             return pa.RecordBatch.from_pydict(

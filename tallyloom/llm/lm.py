@@ -21,9 +21,8 @@ from tallyloom.llm.common import documents, hashed_words, mix64
 
 ORDER = 3
 ALPHA = 0.4
-#: An n-gram shares its hash with another one with a probability of at most 2 to minus this: hashes have so many
-#: bits more than the number of n-grams.
-CLEAR_BITS = 24
+#: Texts are moved twice: a higher level of zstd takes a quarter off them.
+LEVEL = 9
 
 
 def ngram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -42,9 +41,9 @@ def _hashed(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return hashes, np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), sizes
 
 
-def _ngrams(hashes: np.ndarray, doc: np.ndarray, n: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def _ngrams(hashes: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash and place of the last word of each n-gram inside a text."""
-    found = ngram_hashes(hashes, n) >> np.uint64(64 - bits) << np.uint64(64 - bits)
+    found = ngram_hashes(hashes, n)
     last = np.arange(n - 1, n - 1 + len(found), dtype=np.int32)
     inside = doc[n - 1 :] == doc[: len(found)] if len(found) else np.zeros(0, bool)
     return found[inside], last[inside]
@@ -83,15 +82,15 @@ def stupid_backoff(
     the other rows. A word found nowhere else counts 1 / (words of all rows + 1) as its lowest order.
     A-Z are lower-cased. n-grams do not cross rows. Null and empty texts: 0 words and 0.0. Repeated rows
     are other rows to one another, also with equal or null keys. An empty table gives an empty result.
+    n-grams are equal if their 64-bit hashes are, at every size of the corpus.
     """
-    packed = blocks.pack(df, key, text)
+    packed = blocks.pack(df, key, text, level=LEVEL)
     n_bytes, corpus = packed.agg(F.sum("n_bytes"), F.sum("n_words")).first()
     parts, corpus = order * blocks.n_parts(n_bytes or 0), corpus or 0
-    bits = min(64, (order * corpus).bit_length() + CLEAR_BITS)
 
     def keys_of(_, texts):
         hashes, doc, _ = _hashed(texts)
-        each = [np.unique(_ngrams(hashes, doc, n, bits)[0], return_counts=True) for n in range(1, order + 1)]
+        each = [np.unique(_ngrams(hashes, doc, n)[0], return_counts=True) for n in range(1, order + 1)]
         found, counts, _ = _merged(each)
         return found, counts.astype(np.uint64)
 
@@ -101,7 +100,7 @@ def stupid_backoff(
         # Per order: places of last words by n-gram and text, where each n-gram begins among them, and what a text has of it.
         sorted_, each = [], []
         for k in range(1, order + 1):
-            grams, last = _ngrams(hashes, doc, k, bits)
+            grams, last = _ngrams(hashes, doc, k)
             by_gram = np.argsort(grams, kind="stable")  # the texts of an n-gram stay in order
             grams, last = grams[by_gram], last[by_gram]
             starts, own = _runs(grams), _runs(grams, doc[last])

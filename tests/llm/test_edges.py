@@ -450,3 +450,22 @@ def test_backoff(docs, none):
     assert sorted((r["n_words"], r["backed_off"], r["unseen"]) for r in got) == sorted((n, b, u) for n, _, b, u in want)
     assert np.allclose(sorted(r["log_score"] for r in got), sorted(s for _, s, _, _ in want))
     assert lm.stupid_backoff(none).count() == 0
+
+
+def test_ngrams_keep_whole_hashes(spark, monkeypatch):
+    # Words whose hashes differ in the lowest bits only are other words, in a small corpus as well.
+    near = {w: np.uint64(0x9E3779B97F4A7C15) + np.uint64(i) for i, w in enumerate([b"a", b"b", b"c", b"d"])}
+
+    def hashed(texts):
+        lists = [t.split() if t else [] for t in texts]
+        sizes = np.array([len(x) for x in lists], np.int64)
+        return np.array([near[w] for x in lists for w in x], np.uint64), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), sizes
+
+    monkeypatch.setattr(lm, "ngram_hashes", lambda hashes, n: hashes)
+    sent = []
+    monkeypatch.setattr(lm, "_hashed", hashed)
+    monkeypatch.setattr(lm.blocks, "exchange", lambda packed, parts, keys_of, merge: sent.append(keys_of) or packed)
+    monkeypatch.setattr(lm.blocks, "answered", lambda packed, *_: packed)
+    lm.stupid_backoff(table(spark, [(1, "a b", None, None), (2, "c d", None, None)]), order=1)
+    found, counts = sent[0](None, [b"a b", b"c d"])
+    assert found.tolist() == sorted(int(x) for x in near.values()) and counts.tolist() == [1] * 4
