@@ -39,8 +39,6 @@ MARGIN = 0.25
 BLOCK = 256
 #: Members of small families that share a piece.
 POOLED = 500
-#: Ids of the texts to compare are broadcast up to this many (8 MB), and joined by a shuffle above.
-FEW_IDS = 1_000_000
 
 _random = np.random.default_rng(20240229)
 FACTORS = _random.integers(0, 1 << 31, HASHES, np.uint32) * np.uint32(2) + np.uint32(1)
@@ -266,6 +264,11 @@ def compared(members: DataFrame, pools: int, first: bool) -> DataFrame:
     return pooled.unionByName(large[0]).unionByName(large[1])
 
 
+def texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The distinct rows (id, text) of ``texts`` whose id is in ``ids`` (id, distinct): a shuffle by id at every size."""
+    return texts.join(ids.hint("merge"), "id", "left_semi").distinct()
+
+
 def near_duplicates(
     df: DataFrame, key: str = "doc_id", text: str = "text", n: int = 2, percent: int = 80
 ) -> DataFrame:
@@ -329,9 +332,7 @@ def near_duplicates(
     ids = families.select("id").unionByName(across.select(F.explode(F.array("a", "b")).alias("id"))).distinct()
     texts = df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     ids = saved(ids, "compared_ids")
-    wanted = F.broadcast(ids) if ids.count() <= FEW_IDS else ids
-    texts = texts.filter(F.col("text").isNotNull()).join(wanted, "id", "left_semi")
-    texts = saved(texts.distinct(), "texts")
+    texts = saved(texts_of(texts.filter(F.col("text").isNotNull()), ids), "texts")
     alone = across.select(
         F.xxhash64("a", "b").alias("family"), F.explode(F.array("a", "b")).alias("id")
     ).withColumn("grouped", F.col("id"))

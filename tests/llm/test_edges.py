@@ -101,6 +101,17 @@ def test_rows_with_one_key_are_one_node(spark):
     assert got == {(3, 3), (4, 3), (5, 3), (6, 3)}
 
 
+def test_texts_take_one_way_at_every_size(spark):
+    rows = [(i % 3000 if i % 7 else None, f"t{i // 6000}") for i in range(9000)]
+    texts = spark.createDataFrame(rows, "id long, text string")
+    for wanted in (set(), {5}, set(range(0, 4000, 3))):
+        ids = spark.createDataFrame([(i,) for i in wanted], "id long")
+        got = near_dedup.texts_of(texts, ids)
+        assert sorted(map(tuple, got.collect())) == sorted({r for r in rows if r[0] in wanted})
+        plan = got._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin [id" in plan and "Broadcast" not in plan
+
+
 def test_estimate_is_unbiased(spark):
     rng = np.random.default_rng(3)
     errors = []
