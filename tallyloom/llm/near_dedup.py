@@ -10,12 +10,13 @@
    (over six standard errors) are dropped.
 4. The other pairs are confirmed on the full sets, and confirmed links joined to components.
 
-No step emits the pairs of a group. Each member of a band bucket is paired with the smallest of its bucket only;
+No step emits the pairs of a family. Each member of a band bucket is paired with the smallest of its bucket only;
 members and leaders with a plausible estimate form families. The sets of a family are compared where they lie
 together: in one piece for small families, and for large ones in pieces of two blocks of about ``BLOCK``
 members, first each block with itself and one other, then what is not one component yet. A piece
 returns the links of a spanning forest. Pairs of a bucket that are in different families (the two are
 not both like the bucket's smallest member) and have a plausible estimate are confirmed one by one.
+To find these, each member of such a bucket meets all others: the rows grow with the square of the bucket.
 """
 
 from __future__ import annotations
