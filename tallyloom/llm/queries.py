@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from tallyloom.llm import langid, lm, mixing, near_dedup, neighbors, packing, quality, secrets, substrings, toxicity
+from tallyloom.llm import (
+    hard_negatives,
+    langid,
+    lm,
+    mixing,
+    near_dedup,
+    neighbors,
+    packing,
+    quality,
+    resampling,
+    rules,
+    secrets,
+    substrings,
+    toxicity,
+)
 
 QUERIES = {
     "op1_near_duplicates": near_dedup.op1_near_duplicates,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_repeated_passages": substrings.op8_repeated_passages,
     "op9_quality_ledger": quality.op9_quality_ledger,
     "op10_stupid_backoff": lm.op10_stupid_backoff,
+    "op11_importance_resampling": resampling.op11_importance_resampling,
+    "op12_quality_rules": rules.op12_quality_rules,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -99,9 +116,62 @@ SELECT w.doc_id, len(ws) AS n_words, coalesce(backed_off, 0) AS backed_off, coal
   round(coalesce(s, 0.0), 3) AS log_score, round(s / nullif(len(ws), 0), 6) AS mean_log_score
 FROM words w LEFT JOIN sums USING (doc_id)"""
 
+#: The CRC-32 of each distinct word, byte by byte, from a table made by its rule.
+_RESAMPLED = f"""WITH places AS (
+  SELECT list(list_reduce([n] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+    ORDER BY n) AS t FROM range(256) AS r(n)),
+ours AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+theirs AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+used AS (SELECT doc_id, unnest(ws) AS w FROM ours),
+spelled AS (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM used UNION SELECT w FROM theirs)),
+hashed AS (
+  SELECT w, xor(list_reduce([4294967295] || list_transform(range(1, length(h), 2), lambda i: CAST('0x' || substr(h, i, 2) AS BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % {resampling.BUCKETS} AS bucket FROM spelled, places),
+s AS (SELECT bucket, count(*) AS n FROM used JOIN hashed USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM theirs JOIN hashed USING (w) GROUP BY bucket),
+gain AS (
+  SELECT h.bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (a.n + {resampling.BUCKETS})
+    / ((coalesce(s.n, 0) + 1)::DOUBLE * (b.n + {resampling.BUCKETS})))) AS BIGINT) AS g
+  FROM (SELECT DISTINCT bucket FROM hashed) h LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket),
+    (SELECT count(*) AS n FROM used) a, (SELECT count(*) AS n FROM theirs) b),
+weighed AS (
+  SELECT o.doc_id, len(ws) AS n_features, coalesce(m.weight, 0) AS weight,
+    (CAST('0x' || sha256('{resampling.SEED}:' || coalesce(CAST(o.doc_id AS VARCHAR), ''))[:8] AS BIGINT) + 0.5::DOUBLE) / 4294967296 AS u
+  FROM ours o LEFT JOIN (
+    SELECT doc_id, CAST(floor(sum(g)::DOUBLE / count(*)) AS BIGINT) AS weight FROM used JOIN hashed USING (w) JOIN gain USING (bucket)
+    GROUP BY doc_id) m ON m.doc_id IS NOT DISTINCT FROM o.doc_id),
+scored AS (SELECT doc_id, n_features, weight, weight + CAST(floor(-1000 * ln(-ln(u))) AS BIGINT) AS score FROM weighed),
+drawn AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () * {resampling.PERCENT} // 100 AS quota
+  FROM scored WHERE n_features >= {resampling.LEAST_WORDS})
+SELECT s.doc_id, n_features, weight, score, CASE WHEN r <= quota THEN r END AS rank FROM scored s LEFT JOIN drawn USING (doc_id)"""
+
+_NEGATIVES = f"""WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM usable a JOIN usable b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor, other, score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= {hard_negatives.POSITIVES}),
+fitting AS (
+  SELECT p.anchor, p.other AS positive, n.other AS negative, p.score AS high, n.score AS low,
+    row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.score DESC, n.other) AS rank
+  FROM positives p JOIN pairs n ON n.anchor = p.anchor AND NOT n.same
+    AND {hard_negatives.LOW} * p.score <= 100 * n.score AND 100 * n.score <= {hard_negatives.HIGH} * p.score)
+SELECT anchor AS anchor_id, positive AS positive_id, CAST(rank AS INTEGER) AS rank, negative AS negative_id, high AS positive_score,
+  low AS negative_score FROM fitting WHERE rank <= {hard_negatives.NEGATIVES}"""
+
 ORACLES = {
     "op1_near_duplicates": _NEAR,
     "op8_repeated_passages": _REPEATED,
     "op9_quality_ledger": _QUALITY,
     "op10_stupid_backoff": _BACKOFF,
+    "op11_importance_resampling": _RESAMPLED,
+    "op13_hard_negatives": _NEGATIVES,
 }
