@@ -345,6 +345,21 @@ def enrich_country(spark, sf):
     return en.add_country(records, testdata.geo_table(spark, sf)).select("event_id", "country")
 
 
+@query(
+    "enrich_country_networks",
+    with_(
+        EV, WIRE,
+        body=f"""SELECT event_id, CASE WHEN country <> '' THEN country
+          WHEN e % 11 <> 0 AND (u % 256 + e % 256) % 3 <> 0 THEN chr(CAST(65 + u % 256 % 26 AS INTEGER)) || chr(CAST(65 + e % 256 % 26 AS INTEGER))
+          ELSE {_GEO.format('(u % 256)')} END AS country FROM wire e""",
+    ),
+)
+def enrich_country_networks(spark, sf):
+    """Empty countries from a table of ranges that grows with the networks in use: too many for a constant, it is merged."""
+    records = testdata.records(spark, sf).select("event_id", "country", "client_ip")
+    return en.add_country(records, testdata.geo_networks(spark, sf)).select("event_id", "country")
+
+
 @query(
     "enrich_ua",
     with_(EV, body="SELECT event_id, ua_family, os_family, device_class FROM ev"),

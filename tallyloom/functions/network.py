@@ -18,7 +18,7 @@ def client_ip(forwarded_for: Column, remote: Column) -> Column:
     return F.when(forwarded_for != "", first).otherwise(remote)
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use`` of a value that is computed once, however often ``use`` names it."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
@@ -26,12 +26,10 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
 def _dotted_tail_as_groups(ip: Column) -> Column:
     """An IPv6 text whose last 32 bits are written as IPv4, with two groups in their place."""
 
-    def groups(value: Column) -> Column:
-        low = F.hex(value.bitwiseAND(F.lit(65535)))
-        return F.concat(F.regexp_replace(ip, r"[^:]*$", ""), F.hex(F.shiftright(value, 16)), F.lit(":"), low)
+    def replaced(tail: Column) -> Column:
+        return F.when(tail.rlike(_IPV4), F.concat(F.regexp_replace(ip, r"[^:]*$", ""), _ipv4_digits(tail, ":"))).otherwise(ip)
 
-    tail = F.regexp_extract(ip, r"([^:]*)$", 1)
-    return F.when(ip.contains("."), F.coalesce(_let(ipv4_to_long(tail), groups), ip)).otherwise(ip)
+    return F.when(ip.contains("."), let(F.substring_index(ip, ":", -1), replaced)).otherwise(ip)
 
 
 def _expanded(bare: Column) -> Column:
@@ -46,10 +44,10 @@ def _expanded(bare: Column) -> Column:
             return F.concat(sides["l"], F.array_repeat(F.lit("0"), gap), sides["r"])
 
         both = F.struct(side(0).alias("l"), side(1).alias("r"))
-        return F.when(F.size(halves) == 2, _let(both, joined)).otherwise(F.split(bare, ":"))
+        return F.when(F.size(halves) == 2, let(both, joined)).otherwise(F.split(bare, ":"))
 
     single = (F.regexp_count(bare, F.lit("::")) <= 1) & ~bare.contains(":::")
-    return F.when(single, _let(F.split(bare, "::"), filled))
+    return F.when(single, let(F.split(bare, "::"), filled))
 
 
 def _with_ipv6_groups(ip: Column, use: Callable[[Column], Column]) -> Column:
@@ -58,10 +56,10 @@ def _with_ipv6_groups(ip: Column, use: Callable[[Column], Column]) -> Column:
     def checked(found: Column) -> Column:
         good = (F.size(found) == 8) & F.forall(found, lambda g: g.rlike(r"^[0-9A-Fa-f]{1,4}$"))
         plain = F.transform(found, lambda g: F.lower(F.regexp_replace(g, r"^0+(?=.)", "")))
-        return F.when(good, _let(plain, use))
+        return F.when(good, let(plain, use))
 
-    bare = _let(F.regexp_replace(ip, r"%.*$", ""), _dotted_tail_as_groups)
-    return F.when(ip.contains(":"), _let(_let(bare, _expanded), checked))
+    bare = let(F.regexp_replace(ip, r"%.*$", ""), _dotted_tail_as_groups)
+    return F.when(ip.contains(":"), let(let(bare, _expanded), checked))
 
 
 def _is_mapped(groups: Column) -> Column:
@@ -98,23 +96,35 @@ def apply_ip_mode(ip: Column, mode: Column) -> Column:
     )
 
 
-def ipv4_to_long(ip: Column) -> Column:
-    """An IPv4 text as an unsigned 32-bit number in a long; NULL for anything else."""
+def address_key(ip: Column) -> Column:
+    """An address as hexadecimal digits that sort like addresses: 8 for IPv4, also in IPv6 form, and 32
+    for IPv6. NULL for anything else.
+
+    IPv4 takes text functions alone. IPv6 groups are filled up to eight, each with zeros to four digits, and what
+    is then not 32 digits was no address.
+    """
 
-    def value(octets: Column) -> Column:
-        a, b, c, d = (F.get(octets, F.lit(i)).cast("long") for i in range(4))
-        return a * 16777216 + b * 65536 + c * 256 + d
+    def digits(text: Column) -> Column:
+        left, right = F.substring_index(text, "::", 1), F.substring_index(text, "::", -1)
+        present = F.regexp_count(F.concat(left, F.lit(":"), right), F.lit("[^:]+"))
+        filled = F.regexp_replace(F.concat(left, F.lit(":"), F.repeat(F.lit("0:"), 8 - present), right), "^:|:$", "")
+        groups = F.when(~text.contains("::"), text).when(~text.rlike("::.*::|:::"), filled)
+        wide = F.regexp_replace(F.concat(F.lit(":"), groups), ":", ":000")
+        packed = F.lower(F.regexp_replace(wide, r":[0-9A-Fa-f]{0,3}([0-9A-Fa-f]{4})(?=:|$)", "$1"))
+        whole = F.nullif(F.regexp_extract(packed, "^[0-9a-f]{32}$", 0), F.lit(""))
+        # Of an IPv4 address in IPv6 form (80 zero bits, 16 one bits) the last 32 bits.
+        return F.regexp_replace(whole, "^0{20}ffff", "")
 
-    return F.when(ip.rlike(_IPV4), _let(F.split(ip, r"\."), value))
+    bare = let(F.regexp_replace(ip, r"%.*$", ""), _dotted_tail_as_groups)
+    narrow = F.lower(_ipv4_digits(ip, ""))
+    return F.when(ip.rlike(_IPV4), narrow).when(ip.contains(":"), let(bare, digits))
 
 
-def address_key(ip: Column) -> Column:
-    """An address as hexadecimal digits that sort like addresses: 8 for IPv4, also in IPv6 form, and 32
-    for IPv6. NULL for anything else."""
+def _ipv4_digits(ip: Column, separator: str) -> Column:
+    """The four numbers of a checked IPv4 text as two groups of four hexadecimal digits."""
 
-    def digits(groups: Column) -> Column:
-        whole = F.array_join(F.transform(groups, lambda g: F.lpad(g, 4, "0")), "")
-        return F.when(_is_mapped(groups), F.right(whole, F.lit(8))).otherwise(whole)
+    def octet(i: int) -> Column:
+        number = F.substring_index(F.substring_index(ip, ".", i), ".", -1).cast("long")
+        return F.lpad(F.hex(number), 2, "0")
 
-    narrow = _let(ipv4_to_long(ip), lambda v: F.lower(F.lpad(F.hex(v), 8, "0")))
-    return F.when(ip.rlike(_IPV4), narrow).otherwise(_with_ipv6_groups(ip, digits))
+    return F.concat(octet(1), octet(2), F.lit(separator), octet(3), octet(4))

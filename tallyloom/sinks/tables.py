@@ -7,7 +7,6 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Fixed value: days the fact table keeps events if no tier says otherwise.
 EVENT_DAYS = 365
@@ -24,14 +23,6 @@ def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
     )
 
 
-def read_loads(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A table of ``write_batch`` with its column ``load_id``; empty before the first batch."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
-
-
 def overwrite_days(df: DataFrame, path: str, day: str) -> None:
     """Replace the day partitions present in ``df`` and leave the others.
 

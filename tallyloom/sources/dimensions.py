@@ -52,72 +52,52 @@ def match_rules(text: Column, rules: list[tuple[str, str]]) -> Column:
     return result.otherwise(F.lit(UNKNOWN))
 
 
-def address_prefixes(key: Column) -> Column:
-    """All beginnings of an address key, each with the family of the address in front."""
-    family = F.concat(F.length(key).cast("string"), F.lit(":"))
-    return F.transform(F.sequence(F.lit(0), F.length(key)), lambda i: F.concat(family, F.substr(key, F.lit(1), i)))
-
-
-def _run(head: Column, first: Column, last: Column) -> Column:
-    """The blocks ``head`` + digit for the digits from ``first`` to ``last``."""
-    digits = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(digits, lambda d: F.concat(head, F.lower(F.hex(d))))
-
-
-def geo_blocks(ranges: DataFrame) -> DataFrame:
-    """``(start_ip, end_ip, country)`` as aligned blocks: ``prefix`` (what the keys of all addresses in the
-    block begin with, see ``address_prefixes``), ``low``, ``high`` and ``geo``. IPv4 and IPv6.
-
-    A range is cut at its ends digit by digit, into at most 30 blocks per digit of the address however
-    wide it is, so an address is looked up by equality with one of its own prefixes. Ranges with
-    bad or mixed ends are left out.
-    """
+def keyed_ranges(ranges: DataFrame) -> DataFrame:
+    """``(start_ip, end_ip, country)`` as ``(low, high, geo)``, in keys that sort by family and address (see
+    ``range_key``). Ranges with bad, mixed or swapped ends are left out."""
     keyed = ranges.select(
-        address_key(F.col("start_ip")).alias("low"),
-        address_key(F.col("end_ip")).alias("high"),
-        F.col("country").alias("geo"),
-    ).filter((F.length("low") == F.length("high")) & (F.col("low") <= F.col("high")))
-    low, high, size = F.col("low"), F.col("high"), F.length("low")
-    places = F.sequence(F.lit(1), size)
-    differ = F.filter(places, lambda i: F.substr(low, i, F.lit(1)) != F.substr(high, i, F.lit(1)))
-    # Behind these lengths the low end has only zeros and the high end only f.
-    cut = keyed.withColumns(
-        {
-            "same": F.coalesce(F.array_min(differ) - 1, size),
-            "starts": F.length(F.regexp_replace(low, "0+$", "")),
-            "ends": F.length(F.regexp_replace(high, "f+$", "")),
-        }
+        range_key(F.col("start_ip")).alias("low"), range_key(F.col("end_ip")).alias("high"), F.col("country").alias("geo")
+    )
+    return keyed.filter((F.length("low") == F.length("high")) & (F.col("low") <= F.col("high")))
+
+
+def range_key(ip: Column) -> Column:
+    """The digits of an address behind 4 or 6 for its family; NULL for anything else."""
+    return F.regexp_replace(F.regexp_replace(address_key(ip), "^(?=.{8}$)", "4"), "^(?=.{32}$)", "6")
+
+
+def steps(rows: list[tuple[str, str, str | None]]) -> list[tuple[str, str | None]]:
+    """Ranges as a staircase: each (key, value) holds from its key to before the next. The value is that of
+    the range which begins last and, of these, ends first; None where no range is."""
+    ordered = sorted(rows, key=lambda r: (r[0], -int(r[1], 16), r[2] is not None, r[2] or ""))
+    behind = [f"{int(high, 16) + 1:x}" for _, high, _ in rows if set(high[1:]) != {"f"}]
+    out: list[tuple[str, str | None]] = []
+    held: list[tuple[str, str | None]] = []
+    at = 0
+    for key in sorted({*behind, "5", *(low for low, _, _ in rows)}):
+        while at < len(ordered) and ordered[at][0] <= key:
+            held.append(ordered[at][1:])
+            at += 1
+        # A "5" stands between the families; of ranges that begin earlier, those that have ended never count again.
+        while held and held[-1][0] < key:
+            held.pop()
+        value = held[-1][1] if held else None
+        if not out or out[-1][1] != value:
+            out.append((key, value))
+    return out
+
+
+def place(bounds: Column, n: int, key: Column) -> Column:
+    """How many of the ``n`` sorted ``bounds`` are not above ``key``, by halving."""
+    halves = F.lit([1 << i for i in range(max(1, n).bit_length() - 1, -1, -1)])
+    return F.aggregate(
+        halves, F.lit(0), lambda at, half: F.when(F.get(bounds, at + half - 1) <= key, at + half).otherwise(at)
     )
-    same, starts, ends = F.col("same"), F.col("starts"), F.col("ends")
-
-    def head(text: Column, n: Column) -> Column:
-        return F.substr(text, F.lit(1), n)
-
-    def digit(text: Column, place: Column) -> Column:
-        return F.conv(F.substr(text, place, F.lit(1)), 16, 10).cast("int")
 
-    def levels(last: Column) -> Column:
-        return F.when(last > same + 1, F.sequence(same + 2, last)).otherwise(F.array().cast("array<int>"))
 
-    middle = _run(
-        head(low, same),
-        digit(low, same + 1) + F.when(starts > same + 1, 1).otherwise(0),
-        digit(high, same + 1) - F.when(ends > same + 1, 1).otherwise(0),
-    )
-    left = F.transform(
-        levels(starts),
-        lambda k: _run(head(low, k - 1), digit(low, k) + F.when(k < starts, 1).otherwise(0), F.lit(15)),
-    )
-    right = F.transform(
-        levels(ends),
-        lambda k: _run(head(high, k - 1), F.lit(0), digit(high, k) - F.when(k < ends, 1).otherwise(0)),
-    )
-    whole = (same == size) | ((starts <= same) & (ends <= same))
-    blocks = F.when(whole, F.array(head(low, same))).otherwise(F.concat(middle, F.flatten(left), F.flatten(right)))
-    family = F.concat(F.length("low").cast("string"), F.lit(":"))
-    return cut.select(F.explode(blocks).alias("block"), "low", "high", "geo").select(
-        F.concat(family, F.col("block")).alias("prefix"), "low", "high", "geo"
-    )
+def text_array(values: list[str]) -> Column:
+    """A constant array of texts without control characters."""
+    return F.split(F.lit("\x1f".join(values)), "\x1f") if values else F.lit([]).cast("array<string>")
 
 
 def running_experiments(experiments: DataFrame, project: str | None = None) -> DataFrame:

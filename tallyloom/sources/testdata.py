@@ -306,6 +306,20 @@ def geo_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").select(F.inline(rows))
 
 
+def geo_networks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``geo_table`` and, inside its ranges or not, one range for two thirds of the networks 10.a.b.0/24 that
+    occur, named by the letters of a and b: as many ranges as there are networks in use."""
+    a, b = F.col("user_id") % 256, F.col("event_id") % 256
+    used = table(spark, sf_dir, "events").select(a.alias("a"), b.alias("b")).filter((F.col("a") + F.col("b")) % 3 != 0).distinct()
+
+    def address(tail: str) -> Column:
+        return F.concat(F.lit("10."), F.col("a").cast("string"), F.lit("."), F.col("b").cast("string"), F.lit(tail))
+
+    country = F.concat(F.chr(F.lit(65) + F.col("a") % 26), F.chr(F.lit(65) + F.col("b") % 26))
+    rows = used.select(address(".0").alias("start_ip"), address(".255").alias("end_ip"), country.alias("country"))
+    return rows.unionByName(geo_table(spark, sf_dir))
+
+
 def organizations(
     spark: SparkSession, sf_dir: str, source: str = "nation", key: str = "n_nationkey", name: str = "n_name"
 ) -> DataFrame:

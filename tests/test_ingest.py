@@ -1,6 +1,8 @@
 """Raw events through the checks."""
 
+import ipaddress
 import json
+import random
 
 import pytest
 from fixtures import make_events, tuples
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import network
 from tallyloom.operators import enrich, ingest, usage
 from tallyloom.schema import POLICY
-from tallyloom.sources import dimensions, files, warehouse
+from tallyloom.sources import files, warehouse
 
 
 def line(event_id, **changes):
@@ -143,22 +145,46 @@ def test_country_lookup(spark):
     assert tuples(result, "event_id", "country") == [("10", "AA"), ("11", ""), ("7", "XX"), ("8", "IN"), ("9", "V6")]
 
 
-def test_blocks_hold_exactly_the_range(spark):
-    import random
-
-    rng = random.Random(3)
-    ends = [sorted(rng.sample(range(1 << 16), 2)) for _ in range(60)] + [[0, 65535], [5, 5], [0, 15], [16, 255], [4095, 4096]]
-    text = [tuple(f"0.0.{v >> 8}.{v & 255}" for v in pair) for pair in ends]
-    ranges = spark.createDataFrame([(a, b, str(i)) for i, (a, b) in enumerate(text)], "start_ip string, end_ip string, country string")
-    held = {}
-    for r in dimensions.geo_blocks(ranges).collect():
-        key = r["prefix"].split(":")[1].ljust(4, "0")
-        low, high = int(key.ljust(8, "0"), 16), int(r["prefix"].split(":")[1].ljust(8, "f"), 16)
-        held.setdefault(int(r["geo"]), []).append((low, high))
-    for i, (low, high) in enumerate(ends):
-        blocks = sorted(held[i])
-        assert blocks[0][0] == low and blocks[-1][1] == high and len(blocks) <= 30 * 8
-        assert all(b[0] == a[1] + 1 for a, b in zip(blocks, blocks[1:], strict=False))
+def _answer(rows, value):
+    """What holds a value: the range that begins last and, of these, ends first."""
+    held = [(low, -high, name) for low, high, name in rows if low <= value <= high]
+    return max(held)[2] if held else ""
+
+
+@pytest.mark.parametrize(("few", "per_task"), [(1000, 0), (0, 30), (0, 100_000)])
+def test_overlapping_ranges(spark, monkeypatch, few, per_task):
+    """A constant staircase, and both tables merged in many spans or in one, give what a look at all ranges gives."""
+    rng = random.Random(few + per_task)
+    ends = [sorted(rng.sample(range(1 << 12), 2)) for _ in range(40)] + [sorted((v, v + rng.randrange(9))) for v in rng.sample(range(1 << 12), 90)]
+    ends += [[0, 4095], [5, 5], [0, 15], [16, 255], [4095, 4095], [0, 4095]]
+    rows = [(low, high, f"{i:03d}") for i, (low, high) in enumerate(ends)]
+    four = lambda v: f"0.0.{v >> 8}.{v & 255}"
+    six = lambda v: f"2001:db8::{v:x}"
+    given = [(text(low), text(high), tag + name) for text, tag in ((four, ""), (six, "v")) for low, high, name in rows]
+    given += [("255.255.255.0", "255.255.255.255", "last")]
+    ranges = spark.createDataFrame(given, "start_ip string, end_ip string, country string")
+    asked = [(four(v), _answer(rows, v)) for v in range(0, 4200, 7)] + [(six(v), "v" + x if (x := _answer(rows, v)) else "") for v in range(0, 4200, 11)]
+    asked += [("255.255.255.9", "last"), ("0.1.0.0", ""), ("2001:db9::", ""), ("::", ""), ("x", "")]
+    asked = asked + asked[:300]
+    events = spark.createDataFrame([(str(i), "", ip, want) for i, (ip, want) in enumerate(asked)], "event_id string, country string, client_ip string, want string")
+    if per_task:
+        monkeypatch.setattr(enrich.merge_ranges, "__defaults__", (per_task,))
+    result = enrich.add_country(events, ranges, few=few)
+    assert [tuple(r) for r in result.filter("country <> want").collect()] == []
+    assert result.count() == len(asked)
+
+
+def test_address_keys(spark):
+    """The digits of all forms of an address, against the library of addresses."""
+    good = ["1.2.3.4", "255.0.0.255", "::", "::1", "1::", "fe80::1%eth0", "2001:DB8::a:b", "1:2:3:4:5:6:7:8", "::ffff:1.2.3.4", "64:ff9b::1.2.3.4", "1:2:3:4:5:6:7::"]
+    bad = ["", "1.2.3", "256.1.1.1", "1:2", "1:2:3:4:5:6:7:8:9", "::1::", ":::", "12345::", "g::1", "1.2.3.4.5", "::1.2.3.400", "1:2:3:4:5:6:7:"]
+    df = spark.createDataFrame([(x,) for x in good + bad], "ip string").select("ip", network.address_key(F.col("ip")).alias("k"))
+    got = {r["ip"]: r["k"] for r in df.collect()}
+    for text in good:
+        address = ipaddress.ip_address(text.split("%")[0])
+        address = getattr(address, "ipv4_mapped", None) or address
+        assert got[text] == address.packed.hex()
+    assert {got[text] for text in bad} == {None}
 
 
 def test_mapped_addresses(spark):
