@@ -8,7 +8,7 @@ from tallyloom.catalog.registry import query
 from tallyloom.catalog.sql import AS_OF, EV, funnel_view, ratio, view_sql, with_
 from tallyloom.catalog.stored import stored_path
 from tallyloom.operators import funnel, metrics, retention, rollups, sessions
-from tallyloom.operators.rollups import ACTOR_SKETCHES
+from tallyloom.operators.rollups import ACTOR_SKETCHES, read_state
 from tallyloom.sources import testdata
 
 
@@ -98,7 +98,7 @@ def dau_sketch(spark, sf):
     """Stored sketches merged per day, next to the exact count."""
     events = testdata.events(spark, sf)
     keys = ["project_id", "event_date"]
-    state = spark.read.parquet(f"{stored_path(spark, sf)}/{ACTOR_SKETCHES}")
+    state = read_state(spark, stored_path(spark, sf), ACTOR_SKETCHES)
     merged = metrics.merge_state(state, *keys)
     both = metrics.dau(events).join(merged, keys)
     close = F.abs(F.col("actors") - F.col("dau")) <= F.col("dau") * 0.05
@@ -117,7 +117,7 @@ def monthly_actors_sketch(spark, sf):
     """Stored day sketches merged to months: the coarser grain needs no second scan."""
     month = F.date_format("event_date", "yyyy-MM")
     events = testdata.events(spark, sf).withColumn("month", month)
-    state = spark.read.parquet(f"{stored_path(spark, sf)}/{ACTOR_SKETCHES}").withColumn("month", month)
+    state = read_state(spark, stored_path(spark, sf), ACTOR_SKETCHES).withColumn("month", month)
     merged = metrics.merge_state(state, "project_id", "month")
     exact = events.groupBy("project_id", "month").agg(
         F.count_distinct(F.when(F.col("user_id") != "", F.col("user_id")).otherwise(F.col("device_id"))).alias("exact")

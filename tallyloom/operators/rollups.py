@@ -6,13 +6,17 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.functions.events import rate, uid
 from tallyloom.operators import conversion as conv
 from tallyloom.operators import metrics
 from tallyloom.operators.experiments import DIMS, exposures, exposures_by_day
+from tallyloom.schema import EVENTS
+from tallyloom.sinks import loads
+from tallyloom.sinks.tables import keep_days as keep_days_of
 from tallyloom.sinks.tables import overwrite_days
 
 
@@ -53,49 +57,119 @@ ROLLUPS = [
     Rollup("exp_daily_conv_7d", "exposure_date", (), 168),
     Rollup("exp_daily_conv_7d_dim", "exposure_date", DIMS, 168),
 ]
+# Fixed value: days the stored daily rows are kept.
 KEEP_DAYS = 400
 LONGEST_WINDOW_DAYS = 7
+# Folders that first conversions are dealt to by a hash of the actor.
+BUCKETS = 32
 
-# Stored state below the folder of the rollups. Each load is a partition, so a repeated load replaces itself.
+# Stored state below the folder of the rollups, in loads (``sinks.loads``).
 DETAIL, FIRSTS = "exp_exposure_detail", "exp_first_conversion"
 ACTORS, ACTOR_SKETCHES = "actors_by_day", "actor_sketches_by_day"
-# Additive daily tables: the view that makes the rows of one load, its keys and its sums.
-SUMS: dict[str, tuple[Callable[[DataFrame], DataFrame], tuple[str, ...], tuple[str, ...]]] = {
-    "events_by_day": (metrics.events_by_day, ("project_id", "event_date", "event_name"), ("events",)),
-    "revenue_by_day": (metrics.revenue_by_day, ("project_id", "event_date", "revenue_currency"), ("revenue",)),
-    "agents_by_day": (
-        metrics.agents_by_day, ("project_id", "event_date", "ua_family", "os_family"), ("events",)
+
+
+@dataclass(frozen=True)
+class State:
+    """A stored table: the rows of a load, the folders by column, how rows of several loads become fewer, its day."""
+
+    build: Callable[[DataFrame], DataFrame]
+    by: tuple[str, ...]
+    merge: Callable[[DataFrame], DataFrame]
+    day: str | None
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("project_id", "uid"), F.lit(BUCKETS)).cast("int")
+
+
+def _firsts(events: DataFrame) -> DataFrame:
+    return conv.first_conversion(events).withColumn("bucket", _bucket())
+
+
+def _earliest(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("project_id", "uid", "bucket").agg(F.min("conv_ts").alias("conv_ts"))
+
+
+def _sums(build: Callable[[DataFrame], DataFrame], value: str) -> State:
+    def merge(rows: DataFrame) -> DataFrame:
+        keys = [c for c in rows.columns if c != value]
+        return collapse_sum(rows, keys, [value]).withColumn(value, F.col(value).cast(rows.schema[value].dataType))
+
+    return State(build, (), merge, "event_date")
+
+
+def _merged_sketches(rows: DataFrame) -> DataFrame:
+    total = F.sum("events").cast("long").alias("events")
+    return rows.groupBy("project_id", "event_date").agg(F.hll_union_agg("actors").alias("actors"), total)
+
+
+STATE = {
+    DETAIL: State(lambda e: exposures(e).withColumn("day", F.to_date("expose_ts")), ("day",), lambda rows: rows, "day"),
+    FIRSTS: State(_firsts, ("bucket",), _earliest, None),
+    "events_by_day": _sums(metrics.events_by_day, "events"),
+    "revenue_by_day": _sums(metrics.revenue_by_day, "revenue"),
+    "agents_by_day": _sums(metrics.agents_by_day, "events"),
+    ACTORS: State(
+        lambda e: e.select("project_id", "event_date", uid().alias("uid")).distinct(), (), lambda rows: rows.distinct(), "event_date"
     ),
+    ACTOR_SKETCHES: State(metrics.dau_state, (), _merged_sketches, "event_date"),
 }
 
 
-def _put(df: DataFrame, path: str, load_id: int, *by: str) -> None:
-    """Write the rows of one load of a state table; a repeated load replaces them."""
-    (
-        df.withColumn("load_id", F.lit(load_id).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by, "load_id")
-        .parquet(path)
-    )
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
+def state_schema(spark: SparkSession, table: str) -> T.StructType:
+    """The columns of a stored table, found once; nothing is run for it."""
+    if table in _SCHEMAS:
+        return _SCHEMAS[table]
+    fields = [*EVENTS.fields, *(T.StructField(n, T.StringType()) for n in ("ua_family", "os_family", "device_class"))]
+    schema = STATE[table].build(spark.createDataFrame([], T.StructType(fields))).schema
+    _SCHEMAS[table] = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+    return _SCHEMAS[table]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+def read_state(spark: SparkSession, path: str, table: str, before: int | None = None) -> DataFrame:
+    """The rows of a stored table as the loads wrote them (those before one), to be merged by the reader."""
+    return loads.read(spark, f"{path}/{table}", state_schema(spark, table), before)
 
 
 def read_firsts(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
     """First conversions stored by the loads (before one of them): the minimum per actor."""
-    rows = spark.read.parquet(f"{path}/{FIRSTS}")
-    if before is not None:
-        rows = rows.filter(F.col("load_id") < before)
-    return rows.groupBy("project_id", "uid").agg(F.min("conv_ts").alias("conv_ts"))
+    return _earliest(read_state(spark, path, FIRSTS, before)).select("project_id", "uid", "conv_ts")
 
 
 def read_detail(spark: SparkSession, path: str) -> DataFrame:
     """The stored exposures, with their ``day``."""
-    return spark.read.parquet(f"{path}/{DETAIL}").withColumn("day", F.col("day").cast("date")).drop("load_id")
+    return read_state(spark, path, DETAIL)
+
+
+def compact(spark: SparkSession, path: str, as_of: str | None = None, keep_days: int = KEEP_DAYS) -> dict[str, int | None]:
+    """Merge the loads of all stored tables below ``path``; per table the last load that is in its new base.
+
+    With a day ``as_of`` the rows of days more than ``keep_days`` before it go; first conversions have no day and stay. The tables
+    give the same rows to readers before and after, but for these.
+    """
+
+    def merged(state: State) -> Callable[[DataFrame], DataFrame]:
+        if as_of is None or state.day is None:
+            return state.merge
+        return lambda rows: keep_days_of(state.merge(rows), state.day, as_of, keep_days)
+
+    return {
+        name: loads.compact(spark, f"{path}/{name}", state_schema(spark, name), merged(state), *state.by)
+        for name, state in STATE.items()
+    }
+
+
+def clean(spark: SparkSession, path: str) -> int:
+    """Delete the loads and bases that ``compact`` has replaced, once their readers have ended."""
+    return sum(loads.clean(spark, f"{path}/{name}") for name in STATE)
+
+
+def buckets_of(actors: DataFrame) -> list[int]:
+    """The folders that hold these actors: at most ``BUCKETS`` numbers."""
+    return [r["bucket"] for r in actors.select(_bucket().alias("bucket")).distinct().collect()]
 
 
 def touched_days(new: DataFrame, moved: DataFrame) -> DataFrame:
@@ -114,34 +188,29 @@ def touched_days(new: DataFrame, moved: DataFrame) -> DataFrame:
 def refresh(new: DataFrame, path: str, load_id: int = 0, rollups: list[Rollup] = ROLLUPS) -> None:
     """Bring all stored tables below ``path`` up to date after a load of ``new`` events.
 
-    Nothing earlier is read but the state: first conversions of the actors concerned, and the stored
+    Nothing earlier is read but the state: the folders of first conversions that hold actors concerned, and the stored
     exposures of the days whose numbers change (their folders alone). The additive daily tables get
-    the sums of the load; readers add them up. The days are listed on the driver, one value per calendar day.
+    the sums of the load; readers add them up. Days and folders are listed on the driver, one value each.
     Loads must come with growing ids; the last one may be repeated.
     """
     spark = new.sparkSession
-    fresh = conv.first_conversion(new).withColumnRenamed("conv_ts", "new_ts")
-    if _exists(spark, f"{path}/{FIRSTS}"):
-        stored = spark.read.parquet(f"{path}/{FIRSTS}").filter(F.col("load_id") < load_id)
-        known = stored.join(fresh.select("project_id", "uid"), ["project_id", "uid"], "left_semi")
-        old = known.groupBy("project_id", "uid").agg(F.min("conv_ts").alias("old_ts"))
-        moved = fresh.join(old, ["project_id", "uid"], "left")
-    else:
-        moved = fresh.withColumn("old_ts", F.lit(None).cast("timestamp"))
+    fresh = conv.first_conversion(new).withColumnRenamed("conv_ts", "new_ts").persist(StorageLevel.MEMORY_AND_DISK)
+    stored = read_state(spark, path, FIRSTS, load_id).filter(F.col("bucket").isin(buckets_of(fresh)))
+    known = stored.join(fresh.select("project_id", "uid"), ["project_id", "uid"], "left_semi")
+    old = known.groupBy("project_id", "uid").agg(F.min("conv_ts").alias("old_ts"))
+    moved = fresh.join(old, ["project_id", "uid"], "left")
     moved = moved.filter(F.col("old_ts").isNull() | (F.col("new_ts") < F.col("old_ts")))
     moved = moved.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         days = [r["day"] for r in touched_days(new, moved).collect()]
-        _put(moved.select("project_id", "uid", F.col("new_ts").alias("conv_ts")), f"{path}/{FIRSTS}", load_id)
+        first = moved.select("project_id", "uid", F.col("new_ts").alias("conv_ts"), _bucket().alias("bucket"))
+        loads.put(first, f"{path}/{FIRSTS}", load_id, *STATE[FIRSTS].by)
     finally:
         moved.unpersist()
-    detail = exposures(new).withColumn("day", F.to_date("expose_ts"))
-    _put(detail.hint("rebalance", "day"), f"{path}/{DETAIL}", load_id, "day")
-    for name, (build, _, _) in SUMS.items():
-        if name != "agents_by_day" or "ua_family" in new.columns:
-            _put(build(new), f"{path}/{name}", load_id)
-    _put(new.select("project_id", "event_date", uid().alias("uid")).distinct(), f"{path}/{ACTORS}", load_id)
-    _put(metrics.dau_state(new), f"{path}/{ACTOR_SKETCHES}", load_id)
+        fresh.unpersist()
+    for name, state in STATE.items():
+        if name != FIRSTS and (name != "agents_by_day" or "ua_family" in new.columns):
+            loads.put(state.build(new), f"{path}/{name}", load_id, *state.by)
     _rewrite_days(spark, path, days, rollups)
 
 
@@ -156,7 +225,7 @@ def _rewrite_days(spark: SparkSession, path: str, days: list, rollups: list[Roll
     hours = tuple(sorted({r.hours for r in rollups if r.hours}))
     counts = None
     if hours:
-        firsts = spark.read.parquet(f"{path}/{FIRSTS}")
+        firsts = read_state(spark, path, FIRSTS).filter(F.col("bucket").isin(buckets_of(exposed)))
         firsts = firsts.join(exposed.select("project_id", "uid").distinct(), ["project_id", "uid"], "left_semi")
         firsts = firsts.groupBy("project_id", "uid").agg(F.min("conv_ts").alias("conv_ts"))
         counts = conv.window_counts(exposed, firsts, hours, DIMS).persist(StorageLevel.MEMORY_AND_DISK)
@@ -177,12 +246,8 @@ def rebuild(events: DataFrame, path: str, rollups: list[Rollup] = ROLLUPS) -> No
 
 def stored_views(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The stored tables by the name of the view each answers."""
-    sums = {}
-    for name, (_, keys, values) in SUMS.items():
-        rows = spark.read.parquet(f"{path}/{name}")
-        kinds = {v: F.col(v).cast(rows.schema[v].dataType) for v in values}
-        sums[name] = collapse_sum(rows, list(keys), list(values)).withColumns(kinds)
-    actors = spark.read.parquet(f"{path}/{ACTORS}").groupBy("project_id", "event_date")
+    sums = {n: STATE[n].merge(read_state(spark, path, n)) for n in ("events_by_day", "revenue_by_day", "agents_by_day")}
+    actors = read_state(spark, path, ACTORS).groupBy("project_id", "event_date")
     return {
         "v_events_trend": sums["events_by_day"],
         "v_revenue_by_day": sums["revenue_by_day"],
@@ -197,13 +262,13 @@ def stored_views(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 # Versions of the stored tables side by side: one is current, another can be built, compared, and switched to.
 CURRENT = "_current"
+# What the stored views count or measure; their other columns are keys.
+MEASURES = {"events", "revenue", "dau", "conv_ts", "exposures", "users", "exposed_users", "converted_users", "cr_24h", "cr_7d"}
 
 
 def version_path(spark: SparkSession, root: str, version: str | None = None) -> str:
     """The folder of a version, or of the current one."""
-    if version is None:
-        version = spark.read.text(f"{root}/{CURRENT}").first()["value"]
-    return f"{root}/{version}"
+    return f"{root}/{loads.pointed(spark, f'{root}/{CURRENT}') if version is None else version}"
 
 
 def build_version(events: DataFrame, root: str, version: str) -> None:
@@ -212,19 +277,28 @@ def build_version(events: DataFrame, root: str, version: str) -> None:
 
 
 def verify_version(spark: SparkSession, root: str, version: str) -> dict[str, int]:
-    """Per daily table the number of keys that differ from the current version."""
-    old, new = version_path(spark, root), version_path(spark, root, version)
-    out = {}
-    for r in ROLLUPS:
-        a, b = read_rollup(spark, old, r), read_rollup(spark, new, r)
-        keys = [c for c in a.columns if c in ("project_id", r.day, "exp", "variant", *DIMS)]
-        out[r.name] = differences(a, b.select(*a.columns), keys).count()
-    return out
+    """For each of the stored views the number of keys that differ from the current version; lists without
+    a measure are compared by how often each row comes."""
+    old = stored_views(spark, version_path(spark, root))
+    new = stored_views(spark, version_path(spark, root, version))
+    return {name: stored_differences(old[name], new[name]).count() for name in old}
+
+
+def stored_differences(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Keys of two forms of a stored view that differ."""
+    keys = [c for c in left.columns if c not in MEASURES]
+    if len(keys) == len(left.columns):
+        left, right = (t.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")) for t in (left, right))
+    return differences(left, right.select(*left.columns), keys)
 
 
 def switch_version(spark: SparkSession, root: str, version: str) -> None:
-    """Make a version the current one, by replacing one small file."""
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/{CURRENT}")
+    """Make a version the current one. The switch is the appearance of one small file: until it is
+    there the version before it is current, whatever breaks off."""
+    where, fs = loads.filesystem(spark, version_path(spark, root, version))
+    if not fs.exists(where):
+        raise ValueError(f"there is no version {version}")
+    loads.point(spark, f"{root}/{CURRENT}", version)
 
 
 def read_rollup(spark: SparkSession, path: str, rollup: Rollup) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from datetime import date
 
+import pytest
 from fixtures import activity, make_events, tuples, with_exposures
 from pyspark.sql import functions as F
 
 from tallyloom.operators import conversion as conv
 from tallyloom.operators import dedup, experiments, funnel, metrics, retention, rollups, sessions
+from tallyloom.plans.views import view
+from tallyloom.sinks import loads
+from tallyloom.sources import testdata
 
 D = lambda day: date(2024, 1, day)
 
@@ -123,6 +127,75 @@ def test_late_conversion_moves_rollups(spark, tmp_path):
     assert tuples(day, "variant", "converted_users") == [("A", 0), ("B", 2)]
 
 
+def test_stored_state_in_loads(spark, sf_dir, tmp_path):
+    """Loads merged, deleted and expired give the same tables; what was interrupted is not read."""
+    path = str(tmp_path / "stored")
+    events = testdata.events(spark, sf_dir)
+    part = F.pmod(F.xxhash64("event_id"), F.lit(5))
+    for i in range(4):
+        rollups.refresh(events.filter(part == i), path, i)
+    before = {name: sorted(map(tuple, t.collect()), key=repr) for name, t in rollups.stored_views(spark, path).items()}
+
+    def same():
+        return {name: sorted(map(tuple, t.collect()), key=repr) for name, t in rollups.stored_views(spark, path).items()} == before
+
+    state = f"{path}/{rollups.ACTORS}"
+    # A merge and a load that broke off have no marker.
+    events.limit(5).select("project_id", "event_date", "user_id").write.parquet(f"{state}.base/up_to=3")
+    (tmp_path / "stored" / f"{rollups.ACTORS}.base" / "up_to=3" / loads.COMPLETE).unlink()
+    events.limit(5).select("project_id", "event_date", "user_id").write.parquet(f"{state}/load_id=9")
+    (tmp_path / "stored" / rollups.ACTORS / "load_id=9" / loads.COMPLETE).unlink()
+    assert same()
+    assert set(rollups.compact(spark, path).values()) == {2}
+    assert same()
+    assert rollups.clean(spark, path) >= 7 * 3
+    assert same()
+    days = events.select("event_date").distinct().count()
+    assert loads.count_files(spark, f"{path}/{rollups.DETAIL}") <= 2 * days + 2
+    assert set(rollups.compact(spark, path).values()) == {None}
+    rollups.refresh(events.filter(part == 3), path, 3)  # the newest load may still be repeated
+    assert same()
+    rollups.refresh(events.filter(part == 4), path, 4)
+    for name, table in rollups.stored_views(spark, path).items():
+        assert rollups.stored_differences(view(events, name), table).count() == 0
+    last = events.agg(F.max("event_date")).first()[0].isoformat()
+    rollups.compact(spark, path, as_of=last, keep_days=7)
+    old = F.col("event_date") < F.date_sub(F.lit(last).cast("date"), 7)
+    left = rollups.read_state(spark, path, "events_by_day").filter(old).agg(F.sum("events")).first()[0]
+    assert 0 < left < events.filter(old).count()  # of old days only the newest load is left
+
+
+def test_a_load_opens_the_folders_of_its_actors(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "stored")
+    rollups.rebuild(testdata.events(spark, sf_dir), path)
+    actors = rollups.read_firsts(spark, path).limit(2)
+    folders = rollups.buckets_of(actors)
+    assert 0 < len(folders) <= 2
+    part = rollups.read_state(spark, path, rollups.FIRSTS).filter(F.col("bucket").isin(folders))
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in plan.replace("isnotnull(bucket", "bucket")
+    assert len(part.inputFiles()) >= len(folders)
+    assert part.join(actors, ["project_id", "uid"]).count() == 2
+
+
+def test_versions_switch_in_one_step(spark, sf_dir, tmp_path, monkeypatch):
+    root = str(tmp_path / "versions")
+    events = testdata.events(spark, sf_dir)
+    rollups.build_version(events.filter("event_id % 3 > 0"), root, "v1")
+    rollups.switch_version(spark, root, "v1")
+    rollups.build_version(events, root, "v2")
+    wrong = rollups.verify_version(spark, root, "v2")
+    assert len(wrong) == 13 and all(wrong.values())
+    with pytest.raises(ValueError):
+        rollups.switch_version(spark, root, "v3")
+    # A switch that breaks off before the move leaves a file aside and the old version.
+    (tmp_path / "versions" / rollups.CURRENT / ".000000000001.tmp").write_text("v")
+    assert rollups.version_path(spark, root).endswith("/v1")
+    rollups.switch_version(spark, root, "v2")
+    assert rollups.version_path(spark, root).endswith("/v2")
+    assert not any(rollups.verify_version(spark, root, "v2").values())
+
+
 def test_collapse(spark):
     rows = spark.createDataFrame([("a", 1, "x"), ("a", 3, "y"), ("a", 2, "z"), ("b", 1, "q")], "k string, v long, s string")
     assert tuples(rollups.collapse_replace(rows, ["k"], "v"), "k", "v", "s") == [("a", 3, "y"), ("b", 1, "q")]
