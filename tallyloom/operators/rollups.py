@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -208,12 +209,17 @@ def refresh(new: DataFrame, path: str, load_id: int = 0, rollups: list[Rollup] =
     finally:
         moved.unpersist()
         fresh.unpersist()
-    for name, state in STATE.items():
-        if name != FIRSTS and (name != "agents_by_day" or "ua_family" in new.columns):
-            loads.put(state.build(new), f"{path}/{name}", load_id, *state.by)
+    others = [n for n in STATE if n != FIRSTS and (n != "agents_by_day" or "ua_family" in new.columns)]
+    _together(lambda n: loads.put(STATE[n].build(new), f"{path}/{n}", load_id, *STATE[n].by), others)
     _rewrite_days(spark, path, days, rollups)
 
 
+def _together(write: Callable, tables: list) -> None:
+    """Write tables that do not depend on one another at the same time; the first failure is raised."""
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write, tables))
+
+
 def _rewrite_days(spark: SparkSession, path: str, days: list, rollups: list[Rollup]) -> None:
     """Recompute day partitions of the rollup tables from the stored state and replace them.
 
@@ -230,9 +236,12 @@ def _rewrite_days(spark: SparkSession, path: str, days: list, rollups: list[Roll
         firsts = firsts.groupBy("project_id", "uid").agg(F.min("conv_ts").alias("conv_ts"))
         counts = conv.window_counts(exposed, firsts, hours, DIMS).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for r in rollups:
+
+        def write(r: Rollup) -> None:
             table = r.from_counts(counts) if r.hours else exposures_by_day(exposed, r.dims)
             overwrite_days(table, f"{path}/{r.name}", r.day)
+
+        _together(write, rollups)
     finally:
         exposed.unpersist()
         if counts is not None:
