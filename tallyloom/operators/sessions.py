@@ -47,14 +47,12 @@ def _numbered(cells: DataFrame, gap_ms: int) -> DataFrame:
     )
 
 
-def sessions(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
-    """One row per session. The earliest event gives user and device, the earliest one with a
-    country gives the country; at equal times the smaller value counts."""
-    gap_ms = gap_minutes * 60_000
+def spans(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
+    """One row per actor and cell: ``low`` and ``high`` (ms), ``n``, and what is known of the earliest event and the
+    earliest country, however many devices an actor has. Spans of one session can be joined in any order."""
     named = F.when(F.col("country") != "", F.struct("low", "country"))
-    # One row per actor and cell again, however many devices an actor has.
-    cells = (
-        _cells(events, gap_ms, "user_id", "device_id", "country")
+    return (
+        _cells(events, gap_minutes * 60_000, "user_id", "device_id", "country")
         .groupBy(*ACTOR, "cell")
         .agg(
             F.min(F.struct("low", "user_id", "device_id")).alias("first"),
@@ -64,31 +62,52 @@ def sessions(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
             F.sum("n").alias("n"),
         )
     )
-    grouped = (
-        _numbered(cells, gap_ms)
-        .groupBy(*ACTOR, "session_no")
-        .agg(
-            F.min("low").alias("start_ms"),
-            F.max("high").alias("end_ms"),
-            F.sum("n").alias("events"),
-            F.min("first").alias("first"),
-            F.min("named").alias("named"),
-        )
+
+
+def _joined(numbered: DataFrame) -> DataFrame:
+    """The spans of each numbered session as one."""
+    return numbered.groupBy(*ACTOR, "session_no").agg(
+        F.min("first").alias("first"),
+        F.min("named").alias("named"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        F.sum("n").alias("n"),
+    )
+
+
+def join_spans(rows: DataFrame, gap_minutes: int = 30) -> DataFrame:
+    """Spans that may overlap, joined where no pause between them is longer than the gap: one row per session."""
+    order = W.partitionBy(*ACTOR).orderBy("low", "high")
+    before = F.max("high").over(order.rowsBetween(W.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("low") - before > gap_minutes * 60_000, F.lit(True)).cast("int")
+    numbered = rows.withColumn("opens", opens).withColumn(
+        "session_no", F.sum("opens").over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
     )
-    start, end = F.timestamp_millis("start_ms"), F.timestamp_millis("end_ms")
-    return grouped.select(
+    return _joined(numbered).drop("session_no")
+
+
+def as_sessions(joined: DataFrame) -> DataFrame:
+    """Joined spans as rows of the sessions table."""
+    start, end = F.timestamp_millis("low"), F.timestamp_millis("high")
+    return joined.select(
         "project_id",
         session_id(F.col("project_id"), F.col("uid"), start).alias("session_id"),
         F.col("first.user_id").alias("user_id"),
         F.col("first.device_id").alias("device_id"),
         start.alias("session_start"),
         end.alias("session_end"),
-        F.floor((F.col("end_ms") - F.col("start_ms")) / 1000).alias("duration"),
+        F.floor((F.col("high") - F.col("low")) / 1000).alias("duration"),
         F.coalesce("named.country", F.lit("")).alias("country"),
-        "events",
+        F.col("n").alias("events"),
     )
 
 
+def sessions(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
+    """One row per session. The earliest event gives user and device, the earliest one with a
+    country gives the country; at equal times the smaller value counts."""
+    return as_sessions(_joined(_numbered(spans(events, gap_minutes), gap_minutes * 60_000)))
+
+
 def session_of_events(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
     """Each event with the number of its session per actor, as a client counts them.
 

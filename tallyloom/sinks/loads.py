@@ -103,6 +103,14 @@ def clean(spark: SparkSession, path: str) -> int:
     return len(gone)
 
 
+def drop(spark: SparkSession, path: str, before: int) -> None:
+    """Delete the loads before one, where only the newest states matter."""
+    for n in numbered(spark, path, "load_id"):
+        if n < before:
+            where, fs = filesystem(spark, f"{path}/load_id={n}")
+            fs.delete(where, True)
+
+
 def count_files(spark: SparkSession, path: str) -> int:
     """The data files of the table as it is read now."""
     where, fs = filesystem(spark, path)

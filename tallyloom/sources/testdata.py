@@ -150,15 +150,16 @@ def records(spark: SparkSession, sf_dir: str, copies: bool = False) -> DataFrame
 
 
 def arrivals(
-    spark: SparkSession, records: DataFrame, path: str, parts: int = 3, files: int = 2, newest_first: bool = False
+    spark: SparkSession, records: DataFrame, path: str, parts: int = 3, files: int = 2, newest_first: bool = False,
+    part: Column | None = None,
 ) -> DataFrame:
     """Records as a stream over several micro-batches, each of several files, with ``event_time``.
 
-    The parts are spans of days, in time order or the newest first; inside a file the newest row comes
-    first.
+    The parts are spans of days unless ``part`` tells them, in time order or the newest first; inside a file the newest row
+    comes first.
     """
     day = F.dayofmonth(F.timestamp_micros("ts_client"))
-    part = F.least(F.floor((day - 1) / F.lit(32 / parts)), F.lit(parts - 1))
+    part = F.least(F.floor((day - 1) / F.lit(32 / parts)), F.lit(parts - 1)) if part is None else part
     order = range(parts)
     for n in reversed(order) if newest_first else order:
         rows = records.filter(part == n).repartition(files, "event_id").sortWithinPartitions(F.desc("ts_client"))
