@@ -85,6 +85,36 @@ _PAGE = with_(
 )
 
 
+def _page(offset: int, limit: int) -> str:
+    return with_(
+        EV, EXPOSED, CONV,
+        body=f"""SELECT {", ".join(plain_column(c) for c in bi.CHARTS["exp_exposures_dim_table_fast"].columns)} FROM (
+          SELECT * FROM ({VIEWS['v_exp_exposures_by_day_dim']}) ORDER BY event_date DESC, exp, variant, platform,
+          app_version, country, exposures, users LIMIT {limit} OFFSET {offset})""",
+    )
+
+
+@query("bi_detail_deep_page", _page(99 * 10, 10))
+def detail_deep_page(spark, sf):
+    """The hundredth page of ten rows: days before it are skipped by their counts."""
+    chart = bi.CHARTS["exp_exposures_dim_table_fast"]
+    return bi.run(chart, testdata.events(spark, sf), AS_OF, stored(spark, sf), page=99, row_limit=10)
+
+
+@query("bi_detail_next_pages", _page(2 * 500, 500))
+def detail_next_pages(spark, sf):
+    """The third page, reached from the last row of the page before each."""
+    chart = bi.CHARTS["exp_exposures_dim_table_fast"]
+    rows = view(testdata.events(spark, sf), chart.view, stored(spark, sf))
+    last = None
+    for _ in range(2):
+        page = bi.detail_after(rows, chart.day, chart.columns, chart.row_limit, last).collect()  # one page: 500 rows
+        if not page:
+            return rows.select(*chart.columns).limit(0)
+        last = page[-1]
+    return bi.detail_after(rows, chart.day, chart.columns, chart.row_limit, last).select(*chart.columns)
+
+
 @query("bi_detail_second_page", _PAGE)
 def detail_second_page(spark, sf):
     chart = bi.CHARTS["exp_exposures_dim_table_fast"]

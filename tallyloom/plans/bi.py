@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tallyloom.operators.retention import retention_pivot
@@ -107,10 +107,56 @@ def series_limit(df: DataFrame, by: str, metric: str, limit: int) -> DataFrame:
     return df.join(top, by, "left_semi")
 
 
+def _detail_order(df: DataFrame, day: str, columns: tuple[str, ...]) -> list[str]:
+    """The order of a detail table: its day, newest first, the other columns, and those not shown, so that
+    no two rows of a view are equal."""
+    return [day, *(c for c in columns if c != day), *(c for c in df.columns if c not in columns)]
+
+
+def _sorted(df: DataFrame, names: list[str]) -> DataFrame:
+    return df.orderBy(F.desc(names[0]), *names[1:])
+
+
 def detail(df: DataFrame, day: str, columns: tuple[str, ...], limit: int, page: int = 0) -> DataFrame:
-    """One page of rows, newest first, ties by the columns from left to right."""
-    rest = [c for c in columns if c != day]
-    return df.select(*columns).orderBy(F.desc(day), *rest).offset(page * limit).limit(limit)
+    """One page of rows, newest first, ties by the columns from left to right.
+
+    A later page is found by the rows per day, one number per calendar day: the days before are skipped by the
+    filter, and what is passed over is less than the rows of one day, however deep the page is.
+    """
+    skip = page * limit
+    if skip:
+        counts = df.groupBy(day).agg(F.count(F.lit(1)).alias("n")).collect()
+        for r in sorted(counts, key=lambda r: (r[day] is None, -r[day].toordinal() if r[day] else 0)):
+            if skip < r["n"]:
+                left = F.col(day).isNull()
+                df = df.filter(left if r[day] is None else (F.col(day) <= F.lit(r[day])) | left)
+                break
+            skip -= r["n"]
+        else:
+            return df.select(*columns).limit(0)
+    return _sorted(df, _detail_order(df, day, columns)).select(*columns).offset(skip).limit(limit)
+
+
+def detail_after(df: DataFrame, day: str, columns: tuple[str, ...], limit: int, last: Row | None = None) -> DataFrame:
+    """The page behind the row ``last`` of the page before, or the first one; with all columns of the view, of which the
+    next page needs the last row.
+
+    The start is a comparison of the row's values, so every page is a top-``limit``, and no rows are passed over.
+    """
+    names = _detail_order(df, day, columns)
+    if last is not None:
+        behind = F.lit(False)
+        for name in reversed(names):
+            column, value = F.col(name), last[name]
+            if name == day:  # newest first, no day last
+                further = F.lit(False) if value is None else (column < F.lit(value)) | column.isNull()
+            else:  # a null comes before all values
+                further = column.isNotNull() if value is None else column > F.lit(value)
+            behind = further | (column.eqNullSafe(F.lit(value)) & behind)
+        # The day alone, for folders that need not be opened.
+        near = F.lit(True) if last[day] is None else (F.col(day) <= F.lit(last[day])) | F.col(day).isNull()
+        df = df.filter(near & F.coalesce(behind, F.lit(False)))
+    return _sorted(df, names).select(*names).limit(limit)
 
 
 def _metric(function: str, column: str):
@@ -125,16 +171,18 @@ def run(
     as_of: str,
     rollups: dict[str, DataFrame] | None = None,
     page: int = 0,
+    row_limit: int | None = None,
     **filters,
 ) -> DataFrame:
-    """The rows of a chart; ``filters`` are those of ``apply_filters``."""
+    """The rows of a chart; ``filters`` are those of ``apply_filters``. ``page`` and ``row_limit`` choose the part of a
+    detail table."""
     df = apply_filters(view(events, chart.view, rollups), **filters)
     if chart.days is not None:
         df = last_days(df, chart.day, as_of, chart.days)
     if chart.pivot:
         return retention_pivot(df)
     if chart.columns:
-        return detail(df, chart.day, chart.columns, chart.row_limit, page)
+        return detail(df, chart.day, chart.columns, row_limit or chart.row_limit, page)
     if chart.series_limit is not None:
         df = series_limit(df, chart.by[0], chart.series_metric, chart.series_limit)
     values = [_metric(f, c).alias(label) for label, (f, c) in chart.metrics.items()]

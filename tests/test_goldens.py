@@ -1,5 +1,6 @@
 """Hand-worked results."""
 
+import random
 from datetime import date
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators import conversion as conv
 from tallyloom.operators import dedup, experiments, funnel, metrics, retention, rollups, sessions
+from tallyloom.plans import bi
 from tallyloom.plans.views import view
 from tallyloom.sinks import loads
 from tallyloom.sources import testdata
@@ -196,6 +198,27 @@ def test_versions_switch_in_one_step(spark, sf_dir, tmp_path, monkeypatch):
     assert not any(rollups.verify_version(spark, root, "v2").values())
 
 
+def test_pages(spark):
+    """Pages by number and pages behind a row give the whole list in order, with equal, null and hidden values."""
+    rng = random.Random(2)
+    some = lambda *of: rng.choice([None, *of])
+    rows = [(some(*(D(d) for d in range(1, 6))), some("a", "b"), rng.randrange(3), f"p{i}") for i in range(120)]
+    df = spark.createDataFrame(rows, "day date, exp string, n long, project_id string").repartition(3)
+    shown = ("day", "exp", "n")
+    order = sorted(rows, key=lambda r: (r[0] is None, -r[0].toordinal() if r[0] else 0, r[1] is not None, r[1] or "", r[2], r[3]))
+    for limit in (7, 50):
+        last, got = None, []
+        while page := bi.detail_after(df, "day", shown, limit, last).collect():
+            got += [tuple(r) for r in page]
+            last = page[-1]
+        assert got == order
+        for n in range(20):
+            page = [tuple(r) for r in bi.detail(df, "day", shown, limit, n).collect()]
+            assert page == [r[:3] for r in order[n * limit : n * limit + limit]]
+    plan = bi.detail_after(df, "day", shown, 7, last)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject(limit=7" in plan and "offset" not in plan.lower()
+
+
 def test_collapse(spark):
     rows = spark.createDataFrame([("a", 1, "x"), ("a", 3, "y"), ("a", 2, "z"), ("b", 1, "q")], "k string, v long, s string")
     assert tuples(rollups.collapse_replace(rows, ["k"], "v"), "k", "v", "s") == [("a", 3, "y"), ("b", 1, "q")]
