@@ -480,3 +480,19 @@ def test_ngrams_keep_whole_hashes(spark, monkeypatch):
     lm.stupid_backoff(table(spark, [(1, "a b", None, None), (2, "c d", None, None)]), order=1)
     found, counts = sent[0](None, [b"a b", b"c d"])
     assert found.tolist() == sorted(int(x) for x in near.values()) and counts.tolist() == [1] * 4
+
+
+def test_toxicity_learns_from_all_drawn_rows(spark, monkeypatch):
+    """Texts that share most words are all learned from; only equal ones count once, and keys with both labels not at all."""
+    letters = lambda i: "".join("abcdefghij"[int(c)] for c in str(i))
+    common = " ".join(f"word{letters(i)}" for i in range(40))
+    rows = [(i, f"{common} xyz{letters(i)} " + ("awful nasty" if i % 2 else "kind gentle"), "en", "a") for i in range(60)]
+    rows += [(100, rows[0][1], "en", "a"), (101, common, "en", "a")]
+    labels = [(i, i % 2) for i in range(60)] + [(100, 0), (101, 0), (101, 1)]
+    seen = []
+    real = toxicity.fit_ordinal
+    monkeypatch.setattr(toxicity, "fit_ordinal", lambda x, *a: seen.append(len(x)) or real(x, *a))
+    model = toxicity.fit(table(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert seen == [60, 48]
+    got = {r["doc_id"]: r["toxic"] for r in toxicity.grade(table(spark, rows), model).collect()}
+    assert all(got[i] == bool(i % 2) for i in range(60))
