@@ -6,7 +6,7 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import langid, mixing, near_dedup, packing, secrets
@@ -16,33 +16,51 @@ from tallyloom.llm.common import documents, saved
 SHINGLE = 5
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with numbers for names, which clash with nothing an operator adds, and the number of each name."""
+    numbers = {name: f"c{i}" for i, name in enumerate(docs.columns)}
+    return docs.toDF(*numbers.values()), numbers
+
+
+def _named(rows: DataFrame, numbers: dict[str, str], **changed: Column) -> DataFrame:
+    """The columns of the input under their names, some of them changed."""
+    return rows.select(*[changed.get(name, F.col(c)).alias(name) for name, c in numbers.items()])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts without a language: null, or without any letter. ``lang`` becomes the predicted one."""
-    names = [c for c in docs.columns if c != "lang"]
-    found = langid.predict(docs, langid.fit(docs), keep=names).filter(F.col("lang_pred") != langid.UNKNOWN)
-    return found.withColumnRenamed("lang_pred", "lang").select(*docs.columns)
+    rows, c = _numbered(docs)
+    found = langid.predict(rows, langid.fit(docs.select("doc_id", "text", "lang")), text=c["text"])
+    return _named(found.filter(F.col("lang_pred") != langid.UNKNOWN), c, lang=F.col("lang_pred"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates: the one with the smallest id.
 
-    Of rows with the same id and text, one stays. Rows without an id stay.
+    A row without an id goes by a hash of its text, above 2**62: behind all rows with an id, and equal texts without one are one
+    document. Of rows with the same id and text the one whose other columns are least stays.
     """
-    kept = near_dedup.near_duplicates(docs, n=SHINGLE).filter("kept").select("doc_id").distinct()
-    known = docs.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text"])
-    return known.join(kept, "doc_id", "left_semi").unionByName(docs.filter(F.col("doc_id").isNull())).select(*docs.columns)
+    hashed = F.lit(1 << 62) + F.xxhash64("c_text").bitwiseAND((1 << 62) - 1)
+    rows, c = _numbered(docs)
+    rows = rows.withColumnRenamed(c["text"], "c_text").withColumn("key", F.coalesce(F.col(c["doc_id"]).cast("long"), hashed))
+    kept = near_dedup.near_duplicates(rows, key="key", text="c_text", n=SHINGLE).filter("kept").select("key").distinct()
+    rest = [x for name, x in c.items() if name != "text"]
+    once = rows.join(kept, "key", "left_semi").groupBy("key", "c_text").agg(F.min(F.struct(*rest)).alias("row"))
+    return once.select(*[F.col("c_text" if name == "text" else f"row.{x}").alias(name) for name, x in c.items()])
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Put the kind of each secret in its place; ``n_chars`` follows the text."""
-    names = [c for c in docs.columns if c not in ("text", "n_chars")]
-    clean = secrets.scan(docs, keep=names).withColumn("text", F.col("clean_text"))
-    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    rows, c = _numbered(docs)
+    clean = secrets.scan(rows, text=c["text"], keep=[x for name, x in c.items() if name not in ("text", "n_chars")])
+    length = F.length("clean_text").cast(docs.schema["n_chars"].dataType)
+    return _named(clean, c, text=F.col("clean_text"), n_chars=length)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bring the sources to their target weights: each document as often as the mix takes it."""
-    return mixing.mixed(docs)
+    rows, c = _numbered(docs)
+    return _named(mixing.mixed(rows, key=c["doc_id"], text=c["text"], source=c["source"]), c)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
