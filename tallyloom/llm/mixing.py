@@ -128,13 +128,15 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
     """``df`` with size, source_size, target (of its source) and copies (how often the mix takes the row).
 
     These replace columns of ``df`` with the same names. Size is the number of words, 0 for a null text. Null
-    is a source of its own. Rows without words have the certain copies of their source and no more. Rows
-    that agree in key, source and size have the same rank and are taken alike. An empty table
-    gives an empty result.
+    is a source of its own. Rows without words have the certain copies of their source and no more. A row without a key goes by
+    its text. Rows that agree in key, source and size, or without a key in source and text, have the same rank and
+    are taken alike. An empty table gives an empty result.
     """
     added = ("size", "source_size", "target", "copies")
     sized = df.select(*[c for c in df.columns if c not in added]).withColumn("size", n_words(F.col(text)))
-    sizes = saved(sized.select(F.col(key).alias("key"), F.col(source).alias("source"), "size"), "mix_sizes")
+    # Without a key a row goes by its text, so that rows of equal size have ranks of their own.
+    sized = sized.withColumn("__key", F.coalesce(F.col(key).cast("long"), F.xxhash64(text)))
+    sizes = saved(sized.select(F.col("__key").alias("key"), F.col(source).alias("source"), "size"), "mix_sizes")
     sources = saved(
         sizes.groupBy("source").agg(
             F.sum("size").alias("source_size"), F.sum(F.sqrt("size") * F.col("size")).alias("root")
@@ -162,12 +164,12 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
     plan = saved(plan.select(F.col("name").alias("source"), "source_size", "target", "sure", "goal", "scale", "low", "chosen"), "mix_plan")
 
     rows = _with_source(sized, source, plan.select([F.col(c).alias(f"__{c}") for c in plan.columns]), "left", "__source")
-    rank = _rank(key, seed, "__scale")
-    own = F.struct(rank.alias("rank"), F.col(key).cast("long").alias("key"), F.col("size"))
+    rank = _rank("__key", seed, "__scale")
+    own = F.struct(rank.alias("rank"), F.col("__key").alias("key"), F.col("size"))
     taken = F.col("__low").isNull() | (rank < F.col("__low")) | F.coalesce(F.array_contains("__chosen", own), F.lit(False))
     more = (F.col("__goal") > 0) & (F.col("size") > 0) & taken
     return rows.select(
-        *sized.columns,
+        *[c for c in sized.columns if c != "__key"],
         F.col("__source_size").alias("source_size"),
         F.col("__target").alias("target"),
         (F.col("__sure") + F.when(more, 1).otherwise(0)).cast("long").alias("copies"),

@@ -357,6 +357,14 @@ def test_mix_reaches_the_targets(spark):
     assert 0 < share[False] < share[True] < 1
 
 
+def test_mix_of_rows_without_a_key(spark):
+    """Texts of one size without a key are drawn one by one: the source comes near its target."""
+    rows = [(None if i % 2 else i, f"t{i} " + "w " * 19, "en", "a") for i in range(6000)] + [(i, "w " * 10, "en", "b") for i in range(9000, 9300)]
+    got = mixing.mix(table(spark, rows).repartition(3)).filter("source = 'a'")
+    r = got.agg(F.first("target").alias("t"), F.sum(F.col("copies") * F.col("size")).alias("n"), F.count_if(F.col("copies") == 1).alias("c")).first()
+    assert abs(r["n"] - r["t"]) <= 30 and 0 < r["c"] < 6000
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(4)
     rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(400, 8)))]

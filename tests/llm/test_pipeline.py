@@ -116,9 +116,29 @@ def test_empty(spark):
         assert docs.count() == 0
 
 
-def test_stage_ignores_other_columns(spark):
-    docs = spark.read.parquet(f"{SMALL_DIR}/documents.parquet").limit(40).withColumns({"size": F.lit(1), "key": F.lit("x"), "score": F.lit(0.5)})
+def test_stage_keeps_other_columns(spark):
+    """Columns with the names of what operators add, and with others of theirs, come through as they were."""
+    clashing = ["size", "key", "score", "lang_pred", "spans", "target", "copies", "n_assign", "clean_text", "c_text", "c0", "row"]
+    docs = spark.read.parquet(f"{SMALL_DIR}/documents.parquet").limit(40)
+    docs = docs.withColumns({name: F.concat(F.lit(name), F.col("doc_id").cast("string")) for name in clashing})
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, SMALL_DIR)
         assert out.columns == docs.columns
+        kept = out.collect()
+        assert kept and all(r[name] == f"{name}{r['doc_id']}" for r in kept for name in clashing)
         docs = out
+    assert corpus_pipeline.packed(spark, docs, SMALL_DIR).count() >= len(kept)
+
+
+def test_copies_without_an_id_go(spark):
+    """Copies and near copies without an id leave one document; of equal rows the least other columns stay, in any order."""
+    words = [f"word{i}" for i in range(60)]
+    near = " ".join(words[:-1] + ["other"])
+    rows = [(None, " ".join(words), "en", s, 1) for s in ("b", "a", None)] + [(None, near, "en", "a", 1), (None, "alone here", "en", "a", 1)]
+    rows += [(5, "five and six", "en", s, 1) for s in ("z", "y")] + [(6, "five and six", "en", "x", 1), (7, " ".join(words), "en", "q", 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for order in (rows, rows[::-1]):
+        got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(order, schema).repartition(3), SMALL_DIR).collect()
+        assert sorted(((r["doc_id"], r["text"], r["source"]) for r in got), key=repr) == sorted(
+            [(7, " ".join(words), "q"), (None, "alone here", "a"), (5, "five and six", "y")], key=repr
+        )
