@@ -17,23 +17,24 @@ def values(spark, items, build, kind="string"):
 
 
 def test_hash_vectors(spark):
-    items = ["", "a", "foobar", "exp_consistency:s:u1", "exp_consistency:s:device456"]
-    assert values(spark, items, hashing.hash32_hex) == ["811c9dc5", "e40c292c", "bf9cf968", "1f16ee4c", "7a6fd6cb"]
+    items = ["", "a", "foobar", "button_colour:s:ada", "button_colour:s:phone-77"]
+    assert values(spark, items, hashing.hash32_hex) == ["811c9dc5", "e40c292c", "bf9cf968", "dfcdeecb", "1d000e6c"]
 
 
-def test_hash_counts_utf16_units(spark):
-    def fnv(text):
-        h, raw = 0x811C9DC5, text.encode("utf-16-be")
-        for i in range(0, len(raw), 2):
-            h = ((h ^ int.from_bytes(raw[i : i + 2], "big")) * 0x01000193) & 0xFFFFFFFF
-        return h
+def fnv(text):
+    h, raw = 0x811C9DC5, text.encode("utf-16-be")
+    for i in range(0, len(raw), 2):
+        h = ((h ^ int.from_bytes(raw[i : i + 2], "big")) * 0x01000193) & 0xFFFFFFFF
+    return h
+
 
+def test_hash_counts_utf16_units(spark):
     items = ["é", "日本", "a😀b", "😀"]
     assert values(spark, items, hashing.hash32) == [fnv(t) for t in items]
 
 
 def experiment(spark, variants, salt="s"):
-    config = spark.createDataFrame([("p1", "exp_consistency", salt)], "project_id string, id string, salt string")
+    config = spark.createDataFrame([("p1", "button_colour", salt)], "project_id string, id string, salt string")
     shape = "variants array<struct<name:string,weight:int>>"
     return config.withColumn("config", F.from_json(F.lit(variants), shape))
 
@@ -48,8 +49,10 @@ HALVES = '{"variants":[{"name":"A","weight":50},{"name":"B","weight":50}]}'
 
 
 def test_assignment_vectors(spark):
-    expected = {"u1": "B", "u2": "A", "u3": "A", "device123": "A", "device456": "A"}
+    """Two halves: the hash of experiment, salt and key, modulo the total weight, is below 50 or not."""
+    expected = {k: "A" if fnv(f"button_colour:s:{k}") % 100 < 50 else "B" for k in ("ada", "bo", "cy", "tablet-5", "phone-77")}
     assert assign(spark, HALVES, list(expected)) == expected
+    assert set(expected.values()) == {"A", "B"}
 
 
 def test_assignment_without_variants(spark):
@@ -78,9 +81,9 @@ def test_versions(spark, a, b, gte):
 
 def test_masked_text(spark):
     mode = F.lit("mask")
-    items = ["call +1 (415) 555-1234 ok", "u@ex.com b.c@d.org", "12345", "a@b.co 4155551234", "a@b.co_x@d.org"]
+    items = ["call +1 (415) 555-1234 ok", "kim@post.org b.c@d.org", "12345", "a@b.co 4155551234", "a@b.co_x@d.org"]
     assert values(spark, items, lambda c: masking.mask_text(c, mode, mode)) == [
-        "call +x (xxx) xxx-xx34 ok", "***@ex.com ***@d.org", "12345", "***@b.co 4155551234", "***@b.co***@d.org"
+        "call +x (xxx) xxx-xx34 ok", "***@post.org ***@d.org", "12345", "***@b.co 4155551234", "***@b.co***@d.org"
     ]
 
 
@@ -105,9 +108,9 @@ def test_modes(spark):
     def run(text, email, phone):
         return values(spark, [text], lambda c: masking.mask_text(c, F.lit(email), F.lit(phone)))[0]
 
-    assert run("u@ex.com", "drop", "mask") is None
-    assert run("u@ex.com", "allow", "mask") == "u@ex.com"
-    assert run("4155551234 u@ex.com", "allow", "mask") == "xxxxxxxx34 u@ex.com"
+    assert run("kim@post.org", "drop", "mask") is None
+    assert run("kim@post.org", "allow", "mask") == "kim@post.org"
+    assert run("4155551234 kim@post.org", "allow", "mask") == "xxxxxxxx34 kim@post.org"
     assert run("4155551234", "mask", "drop") is None
 
 

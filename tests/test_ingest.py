@@ -37,45 +37,45 @@ def reasons(df):
 
 def test_reasons(spark):
     lines = [
-        line("01JACCEPT001"),
-        line("01JREJECT001", device_id=None),
-        line("01JPII0001", props={"Password": "x"}),
-        line("01JLONGNAME", event_name="a" * 100),
-        line("01JISOTIME01", ts_client="2025-10-24T10:00:00Z"),
-        line("01JNOTIME001", ts_client=None),
-        line("01JBADTIME01", ts_client="soon"),
-        line("01JBIG000001", props={"t": "x" * 70_000}),
-        line("01JLIST00001", props=[1]),
+        line("good-0001"),
+        line("no-device-1", device_id=None),
+        line("password-1", props={"Password": "x"}),
+        line("long-name-1", event_name="a" * 100),
+        line("iso-time-1", ts_client="2025-10-24T10:00:00Z"),
+        line("no-time-01", ts_client=None),
+        line("bad-time-1", ts_client="soon"),
+        line("too-big-01", props={"t": "x" * 70_000}),
+        line("list-props", props=[1]),
         line("short"),
-        '{"event_id":"01JCUT',
+        '{"event_id":"cut-off',
         "",
     ]
     result = ingest.classify(raw(spark, lines))
     assert reasons(result) == {
-        "01JACCEPT001": None, "01JREJECT001": "invalid_schema", "01JPII0001": "pii_blocked",
-        "01JLONGNAME": "invalid_schema", "01JISOTIME01": None, "01JNOTIME001": "invalid_schema",
-        "01JBADTIME01": "invalid_schema", "01JBIG000001": "payload_too_large", "01JLIST00001": "invalid_schema",
+        "good-0001": None, "no-device-1": "invalid_schema", "password-1": "pii_blocked",
+        "long-name-1": "invalid_schema", "iso-time-1": None, "no-time-01": "invalid_schema",
+        "bad-time-1": "invalid_schema", "too-big-01": "payload_too_large", "list-props": "invalid_schema",
         "short": "invalid_schema", None: "invalid_schema",
     }
     assert ingest.accepted(result).count() + ingest.rejected(result).count() == result.count() == 11
     kept = ingest.rejected(result).filter("event_id IS NULL").first()
-    assert kept["raw"] == '{"event_id":"01JCUT'
+    assert kept["raw"] == '{"event_id":"cut-off'
     times = {r["event_id"]: r["ts_client"] for r in ingest.accepted(result).collect()}
-    assert times == {"01JACCEPT001": 1730000000000000, "01JISOTIME01": 1761300000000000}
+    assert times == {"good-0001": 1730000000000000, "iso-time-1": 1761300000000000}
 
 
 def test_policy_deny_and_mask(spark):
-    denied = ingest.classify(raw(spark, [line("01JDENY00001", props={"ssn": "123-45-6789"})]), policy(spark, props_allowlist=["ssn"], deny_keys=["ssn"]))
-    assert reasons(denied) == {"01JDENY00001": "pii_blocked"}
-    masked = ingest.classify(raw(spark, [line("01JMASK00001", props={"email": "u@ex.com"})]), policy(spark, props_allowlist=["email"], mask_keys=["email"]))
+    denied = ingest.classify(raw(spark, [line("denied-001", props={"ssn": "123-45-6789"})]), policy(spark, props_allowlist=["ssn"], deny_keys=["ssn"]))
+    assert reasons(denied) == {"denied-001": "pii_blocked"}
+    masked = ingest.classify(raw(spark, [line("masked-001", props={"email": "kim@post.org"})]), policy(spark, props_allowlist=["email"], mask_keys=["email"]))
     assert masked.first()["props_json"] == '{"email":"***"}'
 
 
 def test_allowlist_email_and_address(spark):
-    lines = [line("01JALLOW0001", props={"level": 1, "email": "u@ex.com", "foo": "bar"})]
+    lines = [line("allowed-01", props={"level": 1, "email": "kim@post.org", "foo": "bar"})]
     rules = policy(spark, props_allowlist=["level", "email"], pii_email="mask", mask_keys=[])
     row = ingest.classify(raw(spark, lines, forwarded_for="1.2.3.4"), rules).first()
-    assert (row["props_json"], row["client_ip"]) == ('{"email":"***@ex.com","level":1}', "1.2.3.0")
+    assert (row["props_json"], row["client_ip"]) == ('{"email":"***@post.org","level":1}', "1.2.3.0")
 
 
 def test_ipv6_address(spark):
