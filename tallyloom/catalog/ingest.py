@@ -22,7 +22,7 @@ from tallyloom.sinks.tables import (
     overwrite_days,
     publish_by_project,
 )
-from tallyloom.sources import files, testdata, warehouse
+from tallyloom.sources import avro_records, files, testdata, topics, warehouse
 
 _TIME = "%Y-%m-%d %H:%M:%S.%g"
 
@@ -315,6 +315,33 @@ def dedup(spark, sf):
     return first.select("event_id", "project_id", "user_id", "device_id", "event_name", "ts_client", "ts_server", "copies")
 
 
+@query(
+    "topic_records",
+    with_(
+        EV,
+        body="""SELECT event_id, project_id, user_id, device_id, event_name, epoch_us(ts_server) AS ts_client, NULL AS reason
+          FROM ev WHERE CAST(event_id AS BIGINT) % 53 <> 0
+          UNION ALL BY NAME SELECT '' AS event_id, 'invalid_schema' AS reason FROM ev WHERE CAST(event_id AS BIGINT) % 53 = 0""",
+    ),
+)
+def topic_records(spark, sf):
+    """Records as messages, a third of them plain, a third behind each kind of frame, some cut short: written, read and decoded."""
+    path = work_dir(spark, "messages")
+    records = testdata.records(spark, sf)
+    number = F.col("event_id").cast("long")
+    for third in range(3):
+        whole = avro_records.encode(records.filter((number % 3 == third) & (number % 53 != 0)))
+        cut = avro_records.encode(records.filter((number % 3 == third) & (number % 53 == 0)))
+        cut = cut.select(F.expr("substring(value, 1, length(value) - 1)").alias("value"))
+        value = F.col("value") if third == 0 else avro_records.framed(F.col("value"), 7, wide=third == 2)
+        whole.unionByName(cut).select(value.alias("value")).write.mode("append").parquet(path)
+    good, letters = topics.decoded(spark.read.parquet(path))
+    columns = ("event_id", "project_id", "user_id", "device_id", "event_name", "ts_client")
+    return good.select(*columns, F.lit(None).cast("string").alias("reason")).unionByName(
+        letters.select("event_id", "reason"), allowMissingColumns=True
+    )
+
+
 @query(
     "duplicate_letters",
     with_(
