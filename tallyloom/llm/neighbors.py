@@ -275,7 +275,8 @@ def nearest(
                     }
                 )
 
-    pairs = sent.join(shards, "shard").select("queries", "width", "ids", "vectors", "levels", "graph")
+    # Spark sizes the blocks before they are repeated for each shard, so it would broadcast them at any size.
+    pairs = sent.hint("merge").join(shards, "shard").select("queries", "width", "ids", "vectors", "levels", "graph")
     hits = pairs.mapInArrow(ask, "query_id long, vec_id long, score double")
     # At most k rows per query and shard.
     once = hits.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
