@@ -1,28 +1,35 @@
 """Stupid-backoff language-model scores, computed against the rest of the corpus.
 
-The n-gram count tables of orders 1 to ``order`` are partitioned by the hash of the n-gram. Each
-block of documents sends its distinct n-grams with their counts to these partitions, gets the
-corpus counts back, and scores its documents (``blocks.exchange``), so both the tables and the
-join on the n-gram are spread over all partitions and no n-gram is hot.
+Texts are exploded to rows (row, place, n, hash, own): one for each n-gram of orders 1 to ``order`` that ends
+at a word, ``own`` being how often the text itself holds it. A table of counts by hash, partitioned by the
+hash, covers all documents; n-grams found once are not kept in it. It is joined to the exploded
+n-grams, and what is left meets by document, where each word takes the longest n-gram that other rows hold.
+
+The most frequent n-grams are a third of all rows and more. Those above a share of all n-grams, so that
+no more than ``FREQUENT`` of them exist, are broadcast; the rows of any other hash are few enough for one task.
 
 A document's own occurrences are taken off every count (leave one out): its score says how well
-the rest of the corpus predicts it. The counts cover all documents.
+the rest of the corpus predicts it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm import blocks
-from tallyloom.llm.common import documents, hashed_words, mix64
+from tallyloom.llm.common import as_bytes, documents, hashed_words, mix64, n_words, saved, slices
 
 ORDER = 3
 ALPHA = 0.4
-#: Texts are moved twice: a higher level of zstd takes a quarter off them.
-LEVEL = 9
+#: Most n-grams whose counts are broadcast, sixteen bytes each.
+FREQUENT = 1 << 18
+#: Bytes of text whose n-grams are counted, or exploded, at a time.
+COUNT_BYTES, EXPLODE_BYTES = 16 << 20, 1 << 20
+BATCH_ROWS = 1 << 16
 
 
 def ngram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -58,21 +65,87 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _merged(each: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct n-grams of all orders, sorted, how often each comes, and the place of each that was given."""
-    found, counts = (np.concatenate(x) for x in zip(*each, strict=True))
-    by_hash = np.argsort(found, kind="stable")
-    found = found[by_hash]
-    starts = _runs(found)
-    place = np.empty(len(found), np.int32)
-    place[by_hash] = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(np.append(starts, len(found))))
-    if not len(starts):
-        return found, counts, place
-    return found[starts], np.add.reduceat(counts[by_hash], starts), place
+def _counted(texts: DataFrame, order: int) -> DataFrame:
+    """(hash, total): how often all rows hold each n-gram that comes twice or more."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", COUNT_BYTES):
+            hashes, doc, _ = _hashed(as_bytes(batch["text"]))
+            for n in range(1, order + 1):
+                found, many = np.unique(_ngrams(hashes, doc, n)[0], return_counts=True)
+                for a in range(0, len(found), BATCH_ROWS):
+                    part = slice(a, a + BATCH_ROWS)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(found[part].view(np.int64)), pa.array(many[part].astype(np.int64))], names=["hash", "many"]
+                    )
+
+    rows = texts.select("text").mapInArrow(count, "hash long, many long")
+    return rows.groupBy("hash").agg(F.sum("many").alias("total")).filter(F.col("total") > 1)
+
+
+def _exploded(texts: DataFrame, order: int) -> DataFrame:
+    """(row, place, n, hash, own): the n-grams that end at each word of each row."""
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", EXPLODE_BYTES):
+            rows = np.asarray(batch["row"])
+            hashes, doc, sizes = _hashed(as_bytes(batch["text"]))
+            start = np.cumsum(sizes) - sizes
+            for n in range(1, order + 1):
+                found, last = _ngrams(hashes, doc, n)
+                owner = doc[last]
+                by_gram = np.argsort(found, kind="stable")  # the rows of an n-gram stay in order
+                starts = _runs(found[by_gram], owner[by_gram])
+                many = np.diff(np.append(starts, len(found)))
+                own = np.empty(len(found), np.int32)
+                own[by_gram] = np.repeat(many, many)
+                columns = [rows[owner], (last - start[owner]).astype(np.int32), np.full(len(found), n, np.int32), found.view(np.int64), own]
+                for a in range(0, len(found), BATCH_ROWS):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c[a : a + BATCH_ROWS]) for c in columns], names=["row", "place", "n", "hash", "own"]
+                    )
+
+    return texts.select("row", "text").mapInArrow(explode, "row long, place int, n int, hash long, own int")
+
+
+def _summed(hits: DataFrame, order: int) -> DataFrame:
+    """Per row with a word that others hold: sums over these words.
+
+    ``logs`` leaves out what words scored by their own count alone are divided by: these are ``single``.
+    An n-gram that other rows hold has a context and a last word that they hold: the row before a
+    word scored by two words or more is that of the word before.
+    """
+    others = [F.max(F.when(F.col("n") == n, F.col("others"))).alias(f"o{n}") for n in range(1, order + 1)]
+    words = hits.repartition("row").groupBy("row", "place").agg(*others)
+    before = Window.partitionBy("row").orderBy("place")
+    used, value = F.lit(1), F.log("o1")
+    for n in range(2, order + 1):
+        found = F.col(f"o{n}").isNotNull()
+        used = F.when(found, n).otherwise(used)
+        value = F.when(found, F.log(F.col(f"o{n}") / F.lag(f"o{n - 1}").over(before))).otherwise(value)
+    scored = words.select("row", "place", used.alias("used"), value.alias("value"))
+    return scored.groupBy("row").agg(
+        F.sum("value").alias("logs"),
+        F.count("*").alias("found"),
+        F.count_if(F.col("used") == 1).alias("single"),
+        F.sum("used").alias("used"),
+        F.count_if(F.col("used") == F.least(F.col("place") + 1, F.lit(order))).alias("full"),
+    )
+
+
+def _open(words: Column, order: int) -> Column:
+    """The orders open to the words of a row, added up: 1 for the first, 2 for the second, ``order`` at most."""
+    few = F.least(words, F.lit(order))
+    return (few * (few + 1) / 2).cast("long") + (words - few) * order
 
 
 def stupid_backoff(
-    df: DataFrame, key: str = "doc_id", text: str = "text", order: int = ORDER, alpha: float = ALPHA
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    order: int = ORDER,
+    alpha: float = ALPHA,
+    frequent: int = FREQUENT,
 ) -> DataFrame:
     """Per row: key, n_words, log_score (natural log, summed over words), backed_off (words scored
     below the full order open to them), unseen (words that no other row holds).
@@ -82,63 +155,38 @@ def stupid_backoff(
     the other rows. A word found nowhere else counts 1 / (words of all rows + 1) as its lowest order.
     A-Z are lower-cased. n-grams do not cross rows. Null and empty texts: 0 words and 0.0. Repeated rows
     are other rows to one another, also with equal or null keys. An empty table gives an empty result.
-    n-grams are equal if their 64-bit hashes are, at every size of the corpus.
+    n-grams are equal if their 64-bit hashes are, at every size of the corpus. ``frequent`` bounds the
+    number of counts that are broadcast; the result does not depend on it.
     """
-    packed = blocks.pack(df, key, text, level=LEVEL)
-    n_bytes, corpus = packed.agg(F.sum("n_bytes"), F.sum("n_words")).first()
-    parts, corpus = order * blocks.n_parts(n_bytes or 0), corpus or 0
-
-    def keys_of(_, texts):
-        hashes, doc, _ = _hashed(texts)
-        each = [np.unique(_ngrams(hashes, doc, n)[0], return_counts=True) for n in range(1, order + 1)]
-        found, counts, _ = _merged(each)
-        return found, counts.astype(np.uint64)
-
-    def finish(keys, texts, answers):
-        hashes, doc, sizes = _hashed(texts)
-        n = len(doc)
-        # Per order: places of last words by n-gram and text, where each n-gram begins among them, and what a text has of it.
-        sorted_, each = [], []
-        for k in range(1, order + 1):
-            grams, last = _ngrams(hashes, doc, k)
-            by_gram = np.argsort(grams, kind="stable")  # the texts of an n-gram stay in order
-            grams, last = grams[by_gram], last[by_gram]
-            starts, own = _runs(grams), _runs(grams, doc[last])
-            own = np.repeat(np.diff(np.append(own, len(last))), np.diff(np.append(own, len(last))))
-            many = np.diff(np.append(starts, len(last)))
-            sorted_.append((last, many, own.astype(np.int32)))
-            each.append((grams[starts], many))
-        found, counts, place = _merged(each)
-        totals = blocks.merged_values(found, counts, parts, answers).astype(np.int64)[place]
-        score = np.full(n, 1.0 / (corpus + 1))
-        used = np.zeros(n, np.int8)
-        under = corpus - sizes[doc]  # words of the other rows, then counts of the next lower order
-        start = 0
-        for k, (last, many, own) in enumerate(sorted_, 1):
-            others = np.zeros(n, np.int64)
-            others[last] = np.repeat(totals[start : start + len(many)], many) - own
-            start += len(many)
-            hit = np.flatnonzero(others > 0)
-            score[hit] = others[hit] / (under[hit] if k == 1 else under[hit - 1])
-            used[hit] = k
-            under = others
-        place = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        open_to = np.minimum(place + 1, order)
-        logs = np.log(score) + (open_to - np.maximum(used, 1)) * np.log(alpha)
-        rows = len(sizes)
-        return pa.table(
-            {
-                "key": keys,
-                "n_words": pa.array(sizes, pa.int64()),
-                "log_score": pa.array(np.bincount(doc, logs, rows), pa.float64()),
-                "backed_off": pa.array(np.bincount(doc, used < open_to, rows).astype(np.int64), pa.int64()),
-                "unseen": pa.array(np.bincount(doc, used == 0, rows).astype(np.int64), pa.int64()),
-            }
-        )
-
-    answers = blocks.exchange(packed, parts, keys_of, lambda values, starts: np.add.reduceat(values, starts))
-    schema = "key long, n_words long, log_score double, backed_off long, unseen long"
-    return blocks.answered(packed, answers, finish, schema).withColumnRenamed("key", key)
+    given = df.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
+    # Written, so that a row has one number in every later pass.
+    texts = saved(given.select(F.monotonically_increasing_id().alias("row"), "key", "text", n_words(F.col("text")).alias("n_words")), "texts")
+    corpus, grams = texts.agg(F.sum("n_words"), F.sum(_open(F.col("n_words"), order))).first()
+    corpus, grams = corpus or 0, grams or 0
+    counts = saved(_counted(texts, order), "ngrams")
+    often = max(1, grams // frequent)
+    hot, cold = counts.filter(F.col("total") > often), counts.filter(F.col("total") <= often)
+    hot = F.broadcast(hot)
+    exploded = _exploded(texts, order)
+    joined = exploded.join(hot, "hash").unionByName(exploded.join(hot, "hash", "left_anti").join(cold, "hash"))
+    hits = joined.select("row", "place", "n", (F.col("total") - F.col("own")).alias("others")).filter(F.col("others") > 0)
+    sums = texts.select("row", "key", "n_words").join(_summed(hits, order), "row", "left")
+    zero = {c: F.coalesce(c, F.lit(0)) for c in ("found", "single", "used", "full")}
+    unseen = F.col("n_words") - zero["found"]
+    skipped = _open(F.col("n_words"), order) - zero["used"] - unseen
+    score = (
+        F.coalesce("logs", F.lit(0.0))
+        - F.when(zero["single"] > 0, zero["single"] * F.log(F.lit(corpus) - F.col("n_words"))).otherwise(0.0)
+        - unseen * F.lit(float(np.log(corpus + 1)))
+        + skipped * F.lit(float(np.log(alpha)))
+    )
+    return sums.select(
+        F.col("key").alias(key),
+        "n_words",
+        score.alias("log_score"),
+        (F.col("n_words") - zero["full"]).alias("backed_off"),
+        unseen.alias("unseen"),
+    )
 
 
 def op10_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:

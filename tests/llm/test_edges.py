@@ -4,6 +4,7 @@ import base64
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm import brute
 from pyspark.sql import functions as F
@@ -385,6 +386,8 @@ def test_nearest(spark):
     assert neighbors.nearest(few, few).groupBy("query_id").count().filter("count = 3").count() == 4
     assert neighbors.nearest(df.limit(0), df).count() == 0
     assert neighbors.nearest(df, df.limit(0)).count() == 0
+    # The blocks of queries are sent once per shard: Spark must not take them for small and broadcast them.
+    assert "BroadcastExchange" not in neighbors.nearest(df, asked, shard=128)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_recall_of_a_shard():
@@ -471,6 +474,20 @@ def test_backoff(docs, none):
     assert lm.stupid_backoff(none).count() == 0
 
 
+@pytest.mark.parametrize("frequent", [1, 40, 1 << 18])
+def test_backoff_of_frequent_ngrams(spark, frequent):
+    """Counts that are broadcast and counts that are joined give one result, and broadcasts stay within the bound."""
+    rng = np.random.default_rng(12)
+    rows = [(i % 50, " ".join(f"w{int(x)}" for x in rng.zipf(1.6, int(rng.integers(0, 40))) if x < 60)) for i in range(120)]
+    rows += [(None, "w1 w1 w1 W1"), (3, "w1"), (4, ""), (5, None), (6, "never seen"), (7, "x y z"), (7, "x y z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r["n_words"], r["backed_off"], r["unseen"], round(r["log_score"], 6)) for r in lm.stupid_backoff(df, frequent=frequent).collect())
+    assert got == sorted((n, b, u, round(s, 6) + 0.0) for n, s, b, u in brute.backoff(rows))
+    counts = [r["total"] for r in lm._counted(df, lm.ORDER).collect()]
+    often = max(1, sum(max(0, len((t or "").split()) - n + 1) for _, t in rows for n in (1, 2, 3)) // frequent)
+    assert sum(c > often for c in counts) <= frequent
+
+
 def test_ngrams_keep_whole_hashes(spark, monkeypatch):
     # Words whose hashes differ in the lowest bits only are other words, in a small corpus as well.
     near = {w: np.uint64(0x9E3779B97F4A7C15) + np.uint64(i) for i, w in enumerate([b"a", b"b", b"c", b"d"])}
@@ -481,13 +498,20 @@ def test_ngrams_keep_whole_hashes(spark, monkeypatch):
         return np.array([near[w] for x in lists for w in x], np.uint64), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), sizes
 
     monkeypatch.setattr(lm, "ngram_hashes", lambda hashes, n: hashes)
-    sent = []
     monkeypatch.setattr(lm, "_hashed", hashed)
-    monkeypatch.setattr(lm.blocks, "exchange", lambda packed, parts, keys_of, merge: sent.append(keys_of) or packed)
-    monkeypatch.setattr(lm.blocks, "answered", lambda packed, *_: packed)
-    lm.stupid_backoff(table(spark, [(1, "a b", None, None), (2, "c d", None, None)]), order=1)
-    found, counts = sent[0](None, [b"a b", b"c d"])
-    assert found.tolist() == sorted(int(x) for x in near.values()) and counts.tolist() == [1] * 4
+    sent = []
+
+    class Texts:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, function, schema):
+            batch = pa.RecordBatch.from_pydict({"row": pa.array([1, 2], pa.int64()), "text": ["a b", "c d"]})
+            sent.extend(x for b in function(iter([batch])) for x in b["hash"].to_pylist())
+            return self
+
+    lm._exploded(Texts(), 1)
+    assert sorted(x % (1 << 64) for x in sent) == sorted(int(x) for x in near.values())
 
 
 def test_toxicity_learns_from_all_drawn_rows(spark, monkeypatch):
