@@ -26,13 +26,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def saved(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+def saved(df: DataFrame, name: str, compression: str = "zstd", group_bytes: int = 128 << 20) -> DataFrame:
     """Write ``df`` below the cluster's shared folder and read it back.
 
     Cuts the lineage: a lost executor costs the tasks that were running, not the work before.
+    ``group_bytes`` is the size of a row group before compression, the least that a later task reads.
     """
     path = work_dir(df.sparkSession, name)
-    df.write.option("compression", compression).parquet(path)
+    df.write.option("compression", compression).option("parquet.block.size", group_bytes).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -29,6 +29,7 @@ ALPHA = 0.4
 FREQUENT = 1 << 18
 #: Bytes of text whose n-grams are counted, or exploded, at a time.
 COUNT_BYTES, EXPLODE_BYTES = 16 << 20, 1 << 20
+GROUP_BYTES = 4 << 20
 BATCH_ROWS = 1 << 16
 
 
@@ -159,8 +160,9 @@ def stupid_backoff(
     number of counts that are broadcast; the result does not depend on it.
     """
     given = df.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    # Written, so that a row has one number in every later pass.
-    texts = saved(given.select(F.monotonically_increasing_id().alias("row"), "key", "text", n_words(F.col("text")).alias("n_words")), "texts")
+    # Written, so that a row has one number in every later pass; in small groups, as n-grams are many times the text.
+    numbered = given.select(F.monotonically_increasing_id().alias("row"), "key", "text", n_words(F.col("text")).alias("n_words"))
+    texts = saved(numbered, "texts", group_bytes=GROUP_BYTES)
     corpus, grams = texts.agg(F.sum("n_words"), F.sum(_open(F.col("n_words"), order))).first()
     corpus, grams = corpus or 0, grams or 0
     counts = saved(_counted(texts, order), "ngrams")
