@@ -201,11 +201,16 @@ def ndjson_files(spark, sf):
     ),
 )
 def json_array_files(spark, sf):
-    """The lines of a request as one JSON array, one array per file; a line that is cut off breaks its array."""
+    """The lines of a request as one JSON array, one array per file; a line that is cut off breaks its array.
+
+    Half of the files are plain, half are gzip files that are unpacked in pieces.
+    """
     path = work_dir(spark, "arrays")
     body = F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]"))
     bodies = testdata.wire_lines(spark, sf).groupBy("batch_id").agg(body.alias("value"))
-    bodies.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    half = F.pmod(F.xxhash64("batch_id"), F.lit(2))
+    for codec, part in (("none", bodies.filter(half == 0)), ("gzip", bodies.filter(half == 1))):
+        part.select("value").write.mode("append").option("maxRecordsPerFile", 1).option("compression", codec).text(path)
     return _by_reason(ingest.classify(files.read_json_arrays(spark, path)))
 
 

@@ -7,6 +7,10 @@ that ``operators.ingest`` can send it to the dead letters.
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +30,10 @@ REQUEST_BYTES = "request_bytes"
 MAX_REQUEST_BYTES = 1_048_576
 # Names of files that a codec of the file source unpacks.
 COMPRESSED = r"\.(gz|gzip|bz2|deflate|lz4|snappy|zst|zstd)$"
+# Names of files that ``read_json_arrays`` unpacks itself, piece by piece.
+GZIP = r"\.(gz|gzip)$"
+PIECE_BYTES = 1 << 16
+HEAD_BYTES = 4096
 
 _BAD = "_bad"
 
@@ -83,39 +91,85 @@ def read_ndjson(spark: SparkSession, path: str) -> DataFrame:
     return parse_lines(spark.read.text(path).select(*columns))
 
 
+def gunzip(data: bytes, most_bytes: int) -> tuple[bytes, int, bool]:
+    """(content, size, whole): the content of gzip members, its first ``HEAD_BYTES`` if it is longer than ``most_bytes``.
+
+    ``size`` counts all of it; what is over is unpacked in pieces and dropped. Not ``whole`` if it is over or
+    the data is cut off or not gzip.
+    """
+    held, size = bytearray(), 0
+    while data:
+        member = zlib.decompressobj(31)
+        try:
+            while data and not member.eof:
+                piece = member.decompress(data, PIECE_BYTES)
+                data = member.unconsumed_tail
+                size += len(piece)
+                if size <= most_bytes or len(held) < HEAD_BYTES:
+                    held += piece
+            while not member.eof and (piece := member.decompress(b"", PIECE_BYTES)):
+                size += len(piece)
+                if size <= most_bytes or len(held) < HEAD_BYTES:
+                    held += piece
+        except zlib.error:
+            return bytes(held[:HEAD_BYTES]), size, False
+        if not member.eof:
+            return bytes(held[:HEAD_BYTES]), size, False
+        data = member.unused_data.lstrip(b"\0")  # members may follow, or padding
+    whole = size <= most_bytes
+    return bytes(held if whole else held[:HEAD_BYTES]), size, whole
+
+
+def _unpacked(packed: DataFrame, most_bytes: int) -> DataFrame:
+    """(value, head, batch_id, request_bytes) of gzip files, a few at a time and none above ``most_bytes`` in memory."""
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch["path"].to_pylist(), batch["content"], strict=True):
+                data, size, whole = gunzip(content.as_py(), most_bytes)
+                text = data.decode("utf-8", "replace")
+                row = {"value": [text if whole else None], "head": [None if whole else text], "batch_id": [path], REQUEST_BYTES: [size]}
+                kinds = [pa.string(), pa.string(), pa.string(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row.values(), kinds, strict=True)], names=list(row))
+
+    return packed.select("path", "content").mapInArrow(unpack, f"value string, head string, batch_id string, {REQUEST_BYTES} long")
+
+
 def read_json_arrays(spark: SparkSession, path: str, max_request_bytes: int = MAX_REQUEST_BYTES) -> DataFrame:
     """Files that hold one JSON array of events each; the file path is the batch id.
 
     The reader takes a file as one value. Files above ``max_request_bytes`` on disk come back as one row
     with their size and without their content: pass the limit of the rules that ``operators.ingest``
-    applies, which refuse these requests. The size of the others is that of the unpacked text.
+    applies, which refuse these requests. The size of the others is that of the unpacked text. Gzip files are
+    unpacked in pieces: one that grows above the limit, or is broken, is a row with its unpacked size and
+    the head of its text as ``raw``.
     """
-    files = spark.read.text(path, wholetext=True)
-    small = files.filter(F.col("_metadata.file_size") <= max_request_bytes).select(
+    no_text = F.lit(None).cast("string")
+    plain = spark.read.text(path, wholetext=True).filter(
+        (F.col("_metadata.file_size") <= max_request_bytes) & ~F.col("_metadata.file_name").rlike(GZIP)
+    )
+    small = plain.select(
         "value",
+        no_text.alias("head"),
         F.col("_metadata.file_path").alias("batch_id"),
         F.octet_length("value").cast("long").alias(REQUEST_BYTES),
     )
-    large = (
-        spark.read.format("binaryFile")
-        .load(path)
-        .filter(F.col("length") > max_request_bytes)
-        .select(
-            F.lit(None).cast("string").alias("value"),
-            F.col("path").alias("batch_id"),
-            F.col("length").alias(REQUEST_BYTES),
-        )
+    binary = spark.read.format("binaryFile").load(path)
+    large = binary.filter(F.col("length") > max_request_bytes).select(
+        no_text.alias("value"), no_text.alias("head"), F.col("path").alias("batch_id"), F.col("length").alias(REQUEST_BYTES)
     )
+    packed = binary.filter((F.col("length") <= max_request_bytes) & F.col("path").rlike(GZIP))
+    texts = small.unionByName(large).unionByName(_unpacked(packed, max_request_bytes))
     items = F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>")
     one = F.when(items.isNull(), F.array(F.lit(None).cast("string"))).otherwise(
         F.transform(items, lambda item: F.to_json(item))
     )
-    rows = small.unionByName(large).select("batch_id", REQUEST_BYTES, F.explode(one).alias("value"))
+    rows = texts.select("batch_id", REQUEST_BYTES, "head", F.explode(one).alias("value"))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
     parsed = rows.select(
         "batch_id",
         REQUEST_BYTES,
-        F.col("value").alias("raw"),
+        F.coalesce("value", "head").alias("raw"),
         F.octet_length("value").alias("raw_bytes"),
         F.from_json("value", _with_bad(WIRE_EVENT), options).alias("e"),
     )

@@ -125,6 +125,56 @@ def test_files(spark, tmp_path):
     assert counts == [("invalid_schema", 1), ("none", 2), ("request_too_large", 1)]
 
 
+def test_gunzip_in_pieces():
+    import gzip
+
+    rng = random.Random(5)
+    for n in (0, 1, 100, 4096, 65536, 65537, 200_000):
+        text = bytes(rng.randrange(256) for _ in range(n))
+        for data, want in ((gzip.compress(text), text), (gzip.compress(text) + gzip.compress(b"tail") + b"\0\0", text + b"tail")):
+            assert files.gunzip(data, 1 << 20) == (want, len(want), True)
+            over = files.gunzip(data, max(0, len(want) - 1))
+            assert over == ((want[: files.HEAD_BYTES], len(want), False) if want else (b"", 0, True))
+    cut, size, whole = files.gunzip(gzip.compress(b"abc" * 1000)[:-9], 1 << 20)
+    assert not whole and (b"abc" * 2000).startswith(cut) and size <= 3000
+    assert files.gunzip(b"plain", 100) == (b"", 0, False)
+
+
+def test_gzip_arrays(spark, tmp_path):
+    """A small file that unpacks to 100 MB is refused with its size and its head; a broken one costs one row."""
+    import gzip
+
+    good = f"[{line('01JPACK00001')},{line('01JPACK00002')}]"
+    (tmp_path / "a.json.gz").write_bytes(gzip.compress(good.encode()))
+    with gzip.open(tmp_path / "b.json.gz", "wb") as out:
+        out.write(b'[{"event_id":"01JHUGE"},')
+        for _ in range(100):
+            out.write(b" " * 1_000_000)
+        out.write(b"1]")
+    (tmp_path / "c.json.gz").write_bytes(gzip.compress(good.encode())[:60])
+    (tmp_path / "d.json.gz").write_bytes(b"no gzip")
+    (tmp_path / "e.json").write_text(f"[{line('01JPACK00003')}]")
+    name = F.element_at(F.split("batch_id", "/"), -1).alias("file")
+    given = files.read_json_arrays(spark, str(tmp_path))
+    sizes = dict(given.select(name, "request_bytes").distinct().collect())
+    assert (sizes["a.json.gz"], sizes["b.json.gz"]) == (len(good), 100_000_026)
+    rows = {}
+    for r in ingest.classify(given).select(name, "event_id", "reason", "raw").collect():
+        rows.setdefault(r["file"], []).append(r)
+    assert sorted((r["event_id"], r["reason"]) for r in rows["a.json.gz"]) == [("01JPACK00001", None), ("01JPACK00002", None)]
+    (huge,) = rows["b.json.gz"]
+    assert huge["reason"] == "request_too_large"
+    assert huge["raw"].startswith('[{"event_id":"01JHUGE"}') and len(huge["raw"]) == files.HEAD_BYTES
+    assert [r["reason"] for r in rows["c.json.gz"] + rows["d.json.gz"]] == ["invalid_schema"] * 2
+    assert [(r["event_id"], r["reason"]) for r in rows["e.json"]] == [("01JPACK00003", None)]
+    # The file source never opens what is unpacked here.
+    only = tmp_path / "only"
+    only.mkdir()
+    (only / "b.json.gz").write_bytes((tmp_path / "b.json.gz").read_bytes())
+    plain = spark.read.text(str(only), wholetext=True).filter(~F.col("_metadata.file_name").rlike(files.GZIP))
+    assert plain.rdd.getNumPartitions() == 0
+
+
 def test_country_lookup(spark):
     ranges = spark.createDataFrame(
         [("10.0.0.0", "10.2.255.255", "AA"), ("10.3.0.0", "10.3.0.255", "BB"), ("10.3.1.0", "10.3.1.255", "CC")],
