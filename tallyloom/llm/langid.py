@@ -2,8 +2,9 @@
 
 Texts are folded to lower-case letters with single spaces between words. Each n-gram of one to three characters
 counts in one of ``BUCKETS`` buckets. The matrix of log probabilities (buckets x languages) is
-broadcast: its size is set by these two numbers, not by the data. A batch of texts is scored in
-numpy as a sparse product: the matrix rows of all n-grams, summed per text.
+broadcast: 256 KB for each distinct label of the learned rows, so labels should be languages. They are
+not capped: thousands of stray labels make a matrix of GBs. A batch of texts is scored in numpy as a
+sparse product: the matrix rows of all n-grams, summed per text.
 
 The model is fitted on a sample of labelled rows of at most about ``FIT_ROWS`` per language, drawn
 by a hash of the key. Counts of labelled rows, and predictions, cover all rows.
