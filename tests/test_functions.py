@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import hashing, json_text, masking, network, versions
 from tallyloom.functions.events import micros_from_text
-from tallyloom.operators import experiments
+from tallyloom.operators import conversion, experiments
 
 
 def values(spark, items, build, kind="string"):
@@ -73,6 +73,46 @@ def test_signed_rule_differs(spark):
     assert 90 < sum(plain[k] != signed[k] for k in keys) < 210
 
 
+def test_hash_from_its_starts(spark):
+    """The hash of a text behind any state, from those behind the low bits of the states there are."""
+    items = ["", "a", "u1499", "x" * 80, "é1", "a😀b", "\x00\x7f", None]
+    starts = [0, 5, 127, 128, 2166136261, 4294967295, 3735928559]
+    texts = spark.createDataFrame([(t,) for t in items], "text string")
+    low = F.lit(sorted({s & 127 for s in starts}))
+    rows = texts.select("text", hashing.hash32_starts(F.col("text"), low).alias("hashes"), hashing.hash32_power(F.col("text")).alias("power"))
+    rows = rows.select("*", F.explode(F.lit(starts).cast("array<long>")).alias("start"))
+    quick = hashing.hash32_from(F.col("text"), F.col("start"), F.col("hashes"), F.col("power"))
+    got = rows.select("text", "start", quick.alias("a"), hashing.hash32(F.col("text"), start=F.col("start")).alias("b")).collect()
+    assert len(got) == 56 and all(r["a"] == r["b"] for r in got)
+
+
+def test_a_wheel_of_many_variants(spark):
+    keys = [f"u{i}" for i in range(300)]
+    names = "ABCDEFGHIJ"
+    tenths = '{"variants":[' + ",".join(f'{{"name":"{n}","weight":1}}' for n in names) + "]}"
+    assert assign(spark, tenths, keys) == {k: names[fnv(f"button_colour:s:{k}") % 10] for k in keys}
+
+
+def test_pairs_of_small_tables_are_dealt_to_many_tasks(spark):
+    """Few users and experiments are few bytes, and their pairs are not: AQE must not put them into one task."""
+    users = spark.createDataFrame([("p1", f"u{i}", "ios", "1.2", "de") for i in range(400)] + [("p1", "é", "", None, "")],
+                                  "project_id string, key string, platform string, app_version string, country string").distinct()
+    shape = "variants array<struct<name:string,weight:int>>, targeting struct<platform:array<string>,appVersionMin:string,appVersionMax:string,countries:array<string>>, metrics struct<primary:string>"
+    config = '{"variants":[{"name":"A","weight":50},{"name":"B","weight":50}],"targeting":{"appVersionMin":"%s","countries":["DE"]}}'
+    running = spark.createDataFrame([("p1", f"e{i}", "s", config % ("1.2.0" if i % 2 else "1.2.0.0.1")) for i in range(40)], "project_id string, id string, salt string, config string")
+    running = running.withColumn("config", F.from_json("config", shape))
+    got = experiments.assign(users, running)
+    assert got.rdd.getNumPartitions() >= 64
+    expected = {(f"e{i}", k): "A" if fnv(f"e{i}:s:{k}") % 100 < 50 else "B"
+                for i in range(40) for k in [*(f"u{u}" for u in range(400) if i % 2), "é"]}
+    assert {(r["exp"], r["key"]): r["variant"] for r in got.collect()} == expected
+    events = spark.createDataFrame([("p1", "level_complete", f"u{i}", "", i) for i in range(400)],
+                                   "project_id string, event_name string, user_id string, device_id string, ts_server long")
+    firsts = conversion.first_conversion_by_experiment(events, running)
+    assert firsts.rdd.getNumPartitions() >= 64
+    assert sorted(tuple(r) for r in firsts.collect()) == sorted(("p1", f"e{e}", f"u{i}", i) for e in range(40) for i in range(400))
+
+
 @pytest.mark.parametrize("a,b,gte", [("1.2.3", "1.2.0", True), ("1.2.3", "1.2.3", True), ("1.2.0", "1.3.0", False), ("1.2", "1.2.0", True), ("1.10", "1.9", True)])
 def test_versions(spark, a, b, gte):
     row = spark.range(1).select(versions.gte(F.lit(a), F.lit(b)).alias("r")).first()
