@@ -154,12 +154,15 @@ def read_json_arrays(spark: SparkSession, path: str, max_request_bytes: int = MA
         F.col("_metadata.file_path").alias("batch_id"),
         F.octet_length("value").cast("long").alias(REQUEST_BYTES),
     )
+    # By their metadata files are left out when they are listed, and no task opens them.
+    size, packs = F.col("_metadata.file_size"), F.col("_metadata.file_name").rlike(GZIP)
     binary = spark.read.format("binaryFile").load(path)
-    large = binary.filter(F.col("length") > max_request_bytes).select(
+    large = binary.filter(size > max_request_bytes).select(
         no_text.alias("value"), no_text.alias("head"), F.col("path").alias("batch_id"), F.col("length").alias(REQUEST_BYTES)
     )
-    packed = binary.filter((F.col("length") <= max_request_bytes) & F.col("path").rlike(GZIP))
+    packed = binary.filter((size <= max_request_bytes) & packs)
     texts = small.unionByName(large).unionByName(_unpacked(packed, max_request_bytes))
+    texts = texts.withColumn(REQUEST_BYTES, F.coalesce(REQUEST_BYTES, F.lit(0).cast("long")))  # it is never NULL
     items = F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>")
     one = F.when(items.isNull(), F.array(F.lit(None).cast("string"))).otherwise(
         F.transform(items, lambda item: F.to_json(item))

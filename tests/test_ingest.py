@@ -1,5 +1,6 @@
 """Raw events through the checks."""
 
+import gzip
 import ipaddress
 import json
 import random
@@ -290,3 +291,27 @@ def test_refused_requests_equal_brute_force(spark, limit):
     assert {(r["request_id"], r["ordinal"]) for r in refused.collect()} == expected
     report = usage.rate_limit_report(df, default=limit).agg(F.sum("refused"), F.sum("requests")).first()
     assert tuple(report) == (len(expected), 200)
+
+
+def test_events_are_not_shuffled_for_the_size_of_requests(spark):
+    """Only requests above the limit are joined; each line of one is refused, and none of the others."""
+    lines = [(line(f"event-{i:04}"), f"b{i // 10}" if i < 90 else None) for i in range(100)]
+    lines += [(line("event-long", props={"note": "x" * 3000}), "b3")]
+    raw_lines = files.parse_lines(spark.createDataFrame(lines, "value string, batch_id string"))
+    got = ingest.classify(raw_lines, defaults=ingest.IngestDefaults(max_request_bytes=2000))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    refused = {r["event_id"] for r in got.filter(F.col("reason") == ingest.REQUEST_TOO_LARGE).collect()}
+    assert refused == {*(f"event-{i:04}" for i in range(30, 40)), "event-long"}
+    assert got.count() == 101
+
+
+def test_arrays_whose_size_is_known_are_read_once(spark, tmp_path):
+    (tmp_path / "a.json").write_text("[" + line("plain-001") + "]")
+    (tmp_path / "b.json.gz").write_bytes(gzip.compress(("[" + line("packed-01") + "]").encode()))
+    (tmp_path / "c.json").write_text("[" + line("large-001", props={"note": "x" * 3000}) + "]")
+    rules = ingest.IngestDefaults(max_request_bytes=2000)
+    got = ingest.classify(files.read_json_arrays(spark, str(tmp_path), 2000), defaults=rules)
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    found = {(r["event_id"], r["reason"]) for r in got.collect()}
+    assert found == {("plain-001", None), ("packed-01", None), (None, ingest.REQUEST_TOO_LARGE)}
