@@ -2,6 +2,7 @@
 
 import base64
 import math
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +11,7 @@ from llm import brute
 from pyspark.sql import functions as F
 
 from tallyloom.llm import (
+    common,
     langid,
     lm,
     mixing,
@@ -488,6 +490,37 @@ def test_backoff_of_frequent_ngrams(spark, frequent):
     assert sum(c > often for c in counts) <= frequent
 
 
+def test_backoff_over_chunks(spark, monkeypatch):
+    """Texts in many chunks score as texts in one; a chunk sends an n-gram once, however many of its texts hold it."""
+    rng = np.random.default_rng(13)
+    rows = [(i, " ".join(f"w{int(x)}" for x in rng.zipf(1.5, int(rng.integers(0, 30))) if x < 40)) for i in range(90)] + [(90, None), (91, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(lm, "HASH_BYTES", 60)
+    monkeypatch.setattr(lm, "CHUNK_WORDS", 50)
+    assert lm._chunked(df.withColumnRenamed("doc_id", "key")).select("chunk").distinct().count() > 10
+    got = sorted((r["n_words"], r["backed_off"], r["unseen"], round(r["log_score"], 6)) for r in lm.stupid_backoff(df).collect())
+    assert got == sorted((n, b, u, round(s, 6) + 0.0) for n, s, b, u in brute.backoff(rows))
+    same = spark.range(40).select(F.lit(7).cast("long").alias("row"), F.lit("a b a b").alias("text")).coalesce(1)
+    assert sorted(r["many"] for r in lm._exploded(same, 3).collect()) == [40, 40, 40, 80, 80, 80]
+
+
+def test_saved_drops_its_shuffle_files(spark):
+    blocks_ = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: blocks_.getAllBlocks().mkString(" ").count("shuffle_")
+    before, conf = shuffled(), spark.conf.get(common.FREED, None)
+    common.saved(spark.range(1000).repartition(7, "id"), "kept")
+    kept = shuffled()
+    assert kept > before
+    freed = common.saved(spark.range(1000).repartition(7, "id"), "freed", free=True)
+    for _ in range(100):  # they go in the background
+        if shuffled() <= kept:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= kept
+    assert freed.count() == 1000
+    assert spark.conf.get(common.FREED, None) == conf
+
+
 def test_ngrams_keep_whole_hashes(spark, monkeypatch):
     # Words whose hashes differ in the lowest bits only are other words, in a small corpus as well.
     near = {w: np.uint64(0x9E3779B97F4A7C15) + np.uint64(i) for i, w in enumerate([b"a", b"b", b"c", b"d"])}
