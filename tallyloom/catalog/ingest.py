@@ -25,6 +25,8 @@ from tallyloom.sinks.tables import (
 from tallyloom.sources import avro_records, files, testdata, topics, warehouse
 
 _TIME = "%Y-%m-%d %H:%M:%S.%g"
+# Files of one event array each that lie in a folder, about.
+FILES = 10_000
 
 # The wire lines in SQL: policy group of the key (0 and 3 = allowlist, 1 = own lists,
 # 2 = phone drop), the fault of each line, and the cleaned values.
@@ -203,16 +205,19 @@ def ndjson_files(spark, sf):
 def json_array_files(spark, sf):
     """The lines of a request as one JSON array, one array per file; a line that is cut off breaks its array.
 
-    Half of the files are plain, half are gzip files that are unpacked in pieces.
+    Half of the files are plain, half are gzip files that are unpacked in pieces. They lie in folders of ``FILES`` each.
     """
     path = work_dir(spark, "arrays")
     body = F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]"))
-    bodies = testdata.wire_lines(spark, sf).groupBy("batch_id").agg(body.alias("value"))
+    lines = testdata.wire_lines(spark, sf)
+    folders = max(1, -(-lines.select("batch_id").distinct().count() // FILES))
+    bodies = lines.groupBy("batch_id").agg(body.alias("value"))
     half = F.pmod(F.xxhash64("batch_id"), F.lit(2))
+    placed = F.pmod(F.xxhash64(F.lit("part"), "batch_id"), F.lit(folders)).alias("part")
     for codec, part in (("none", bodies.filter(half == 0)), ("gzip", bodies.filter(half == 1))):
         # Tasks put their many files into place themselves, not the driver one by one.
-        writer = part.select("value").write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
-        writer.option("maxRecordsPerFile", 1).option("compression", codec).text(path)
+        writer = part.select(placed, "value").write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        writer.option("maxRecordsPerFile", 1).option("compression", codec).partitionBy("part").text(path)
     return _by_reason(ingest.classify(files.read_json_arrays(spark, path)))
 
 

@@ -315,3 +315,28 @@ def test_arrays_whose_size_is_known_are_read_once(spark, tmp_path):
     assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
     found = {(r["event_id"], r["reason"]) for r in got.collect()}
     assert found == {("plain-001", None), ("packed-01", None), (None, ingest.REQUEST_TOO_LARGE)}
+
+
+def test_arrays_in_folders_are_read_folder_by_folder(spark, tmp_path):
+    """Plain, gzip, broken and large files in partition folders: the rows of the flat folder; the result holds none of the files."""
+    event = '{"event_id":"event-%05d","event_name":"login","project_id":"p1","device_id":"d","ts_client":1}'
+    texts = {f"{n}.txt": f"[{event % n},{event % (n + 100)}]" for n in range(6)} | {"broken.txt": "[", "large.txt": " " * 3000}
+    for n, (name, text) in enumerate(texts.items()):
+        for folder in (tmp_path / "flat", tmp_path / "parts" / f"part={n % 3}"):
+            folder.mkdir(parents=True, exist_ok=True)
+            (folder / name).write_text(text)
+            (folder / f"{name}.gz").write_bytes(gzip.compress(text.encode()))
+    (tmp_path / "parts" / "_SUCCESS").touch()
+    listings = "spark.sql.hive.filesourcePartitionFileCacheSize"
+    before = spark.conf.get(listings)
+    flat, parts = (files.read_json_arrays(spark, str(tmp_path / name), 2000) for name in ("flat", "parts"))
+    assert spark.conf.get(listings) == before
+    assert parts.columns == flat.columns and not parts.schema["request_bytes"].nullable
+
+    def rows(df):
+        file = F.substring_index("batch_id", "/", -1).alias("file")
+        names = ("raw", "event_id", "request_bytes", "raw_bytes", "parse_error")
+        return tuples(df.select(file, *[F.coalesce(F.col(c).cast("string"), F.lit("-")).alias(c) for c in names]), "file", *names)
+
+    assert rows(parts) == rows(flat) and parts.count() == 28
+    assert all(".parquet" in name for name in parts.inputFiles())
